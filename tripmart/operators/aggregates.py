@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ratio_2dp
@@ -31,13 +31,17 @@ def peak_bucket(df: DataFrame, keys: Sequence[str], bucket: str, count: str = "n
     return dedupe_first(counted, keys, [F.col(count).desc(), F.col(bucket).asc_nulls_first()])
 
 
-def share_of_total(counted: DataFrame, count: str, share: str) -> DataFrame:
+def share_of_total(counted: DataFrame, count: str, share: str, few_groups: bool = False) -> DataFrame:
     """Add each group's percentage of the sum of all counts (two decimals).
 
-    The total is a scalar subquery over the grouped counts, not a window without partition, so a large
-    number of groups never lands in one task. The shuffle behind the counts is reused for it.
+    The total is a scalar subquery over the grouped counts, so a large number of groups never lands in
+    one task; the shuffle behind the counts is reused for it. Say ``few_groups`` only if the groups come
+    from a fixed set of values: one window over those few rows then spares the second pass.
     """
-    total = counted.agg(F.sum(count)).scalar()
+    if few_groups:
+        total = F.sum(count).over(Window.partitionBy())
+    else:
+        total = counted.agg(F.sum(count)).scalar()
     return counted.withColumn(share, ratio_2dp(F.col(count), total, scale=100))
 
 

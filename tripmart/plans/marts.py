@@ -14,18 +14,21 @@ ANOMALY_MIN_DROP = 50
 ANOMALY_LABEL = "ANOMALY BIKE DROPS"
 NORMAL_LABEL = "NORMAL"
 
+HOURS_PER_DAY = 24
+
 
 def _facet(name: str) -> Column:
     """True on the rows of a grouping set that groups by ``name``."""
     return F.col(f"by_{name}")
 
 
-def _peak(bucket: str, n: str) -> Column:
-    """Bucket with the highest count among the rows of its facet; the smallest bucket wins a tie."""
-    is_bucket = _facet(bucket)
-    return F.max_by(
-        F.when(is_bucket, F.col(bucket)), F.when(is_bucket, F.struct(F.col(n), -F.col(bucket)))
-    )
+def _peak_hour(hour: str, n: str) -> Column:
+    """Hour with the highest count among the rows of its facet; the smallest hour wins a tie.
+
+    Count and hour are ranked as one number: unlike a struct it keeps the aggregation hash-based.
+    """
+    rank = F.col(n) * HOURS_PER_DAY - F.col(hour)
+    return F.max_by(F.when(_facet(hour), F.col(hour)), F.when(_facet(hour), rank))
 
 
 def daily_trip_summary(trips: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def daily_trip_summary(trips: DataFrame) -> DataFrame:
         ),
         distinct("start_station_id").alias("active_start_station_count"),
         distinct("end_station_id").alias("active_end_station_count"),
-        _peak("ride_hour", "n").alias("peak_hour"),
+        _peak_hour("ride_hour", "n").alias("peak_hour"),
     )
     return per_day.withColumn("peak_hour", F.when(F.col("trip_date").isNotNull(), F.col("peak_hour")))
 
@@ -98,7 +101,7 @@ def station_summary(trips: DataFrame, mapping: DataFrame) -> DataFrame:
         (total - starts).alias("end_trip_count"),
         total.alias("total_station_activity"),
         ratio_2dp(total, days).alias("avg_daily_activity"),
-        _peak("activity_hour", "n").alias("peak_hour"),
+        _peak_hour("activity_hour", "n").alias("peak_hour"),
     )
     names = mapping.select(
         F.col("batch_station_id"),
@@ -137,7 +140,10 @@ def station_user_summary(trips: DataFrame) -> DataFrame:
 
 
 def user_type_summary(trips: DataFrame) -> DataFrame:
-    """Per rider type: trips, share of all trips, mean duration."""
+    """Per rider type: trips, share of all trips, mean duration.
+
+    Cleaning admits two rider types, so the total is taken over two rows.
+    """
     counted = (
         trips.filter(F.col("member_casual").isNotNull())
         .groupBy("member_casual")
@@ -147,7 +153,7 @@ def user_type_summary(trips: DataFrame) -> DataFrame:
             F.count("ride_duration_minutes").alias("timed"),
         )
     )
-    return share_of_total(counted, "total_trips", "trip_percentage").select(
+    return share_of_total(counted, "total_trips", "trip_percentage", few_groups=True).select(
         "member_casual",
         "total_trips",
         "trip_percentage",

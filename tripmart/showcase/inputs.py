@@ -14,14 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Use all cores on an input of fewer files than cores.
 
     The supplied tables are single files with one row group, which one task would read and transform
-    alone. A table of many files is left as it is.
+    alone. A table of many files is left as it is. Rows are spread by the hash of ``columns``; a
+    round-robin spread would first sort them to be repeatable.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *columns) if len(df.inputFiles()) < cores else df
 
 
 _START = "timestampadd(SECOND, (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 86400, l_shipdate)"
@@ -61,7 +62,8 @@ TRIP_TEXT = {
 
 def staging_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """14 text columns, one row per ``lineitem`` row."""
-    return spread(table(spark, sf_dir, "lineitem")).selectExpr(*[f"{e} AS {c}" for c, e in TRIP_TEXT.items()])
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    return lines.selectExpr(*[f"{e} AS {c}" for c, e in TRIP_TEXT.items()])
 
 
 _STATION = "(user_id % 30)"
