@@ -11,8 +11,9 @@ spread over tasks by :func:`tripmart.operators.with_previous`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,33 +31,40 @@ def _slot(path: str, batch_id: int) -> str:
     return f"{path}/{STATE}/slot={batch_id % 2}"
 
 
-def _frontier(rows: DataFrame, lateness_s: int):
-    """Greatest event time minus the lateness, as a scalar subquery."""
-    newest = rows.agg(F.max("event_timestamp")).scalar()
-    return newest - F.make_dt_interval(secs=F.lit(lateness_s))
+def _frontier(rows: DataFrame, lateness_s: int) -> datetime | None:
+    """Greatest event time minus the lateness: one value, computed by a map-side combined aggregate."""
+    newest = rows.agg(F.max("event_timestamp")).first()[0]
+    return newest and newest - timedelta(seconds=lateness_s)
+
+
+def _up_to(frontier: datetime | None) -> Column:
+    """True for the rows whose turn has come; without a frontier there is none."""
+    if frontier is None:
+        return F.lit(False)
+    # As text: a datetime literal would pass through the time zone of the Python process.
+    limit = F.lit(frontier.isoformat(" ")).cast("timestamp_ntz")
+    return F.coalesce(F.col("event_timestamp") <= limit, F.lit(False))
 
 
 def _step(
     batch: DataFrame, batch_id: int, path: str, compare: Callable[[DataFrame], DataFrame], lateness_s: int
 ) -> None:
-    spark = batch.sparkSession
     fresh = batch.withColumn(_RELEASED, F.lit(False))
     if batch_id:
-        state = spark.read.schema(fresh.schema).parquet(_slot(path, batch_id - 1))
-        closed = _frontier(state, lateness_s)
-        is_late = F.coalesce(F.col("event_timestamp") <= closed, F.lit(False))
+        state = batch.sparkSession.read.schema(fresh.schema).parquet(_slot(path, batch_id - 1))
+        is_late = _up_to(_frontier(state, lateness_s))
         append_batch(fresh.filter(is_late).drop(_RELEASED), f"{path}/{LATE}", batch_id)
         fresh = state.unionByName(fresh.filter(~is_late))
 
     # Released rows sort first, so a replay never replaces its original.
     order = total_order(fresh, [F.col(_RELEASED).desc()], skip=[*_KEYS, _RELEASED])
     rows = dedupe_first(fresh, _KEYS, order).persist()
-    due = rows.filter(F.col("event_timestamp") <= _frontier(rows, lateness_s))
+    is_due = _up_to(_frontier(rows, lateness_s))
+    due = rows.filter(is_due)
     append_batch(compare(due).filter(~F.col(_RELEASED)).drop(_RELEASED), f"{path}/{CHANGES}", batch_id)
 
-    last = latest_per_key(due, ["station_id"], "event_timestamp").withColumn(_RELEASED, F.lit(True))
-    waiting = rows.filter(F.col("event_timestamp") > _frontier(rows, lateness_s))
-    last.unionByName(waiting).write.mode("overwrite").parquet(_slot(path, batch_id))
+    last = latest_per_key(due, ["station_id"], "event_timestamp", []).withColumn(_RELEASED, F.lit(True))
+    last.unionByName(rows.filter(~is_due)).write.mode("overwrite").parquet(_slot(path, batch_id))
     rows.unpersist()
 
 
