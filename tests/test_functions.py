@@ -15,6 +15,7 @@ from tripmart.functions import (
     fold,
     is_weekend,
     mean_2dp,
+    not_blank,
     ratio_2dp,
     round_2dp,
     safe_date,
@@ -36,6 +37,8 @@ def test_trim_strips_all_white_space(spark):
     padded = [f"{w}a b{w}" for w in WHITESPACE] + [WHITESPACE, "", None, " \t x\n"]
     assert evaluate(spark, padded, trim_ws) == ["a b"] * len(WHITESPACE) + ["", "", None, "x"]
     assert evaluate(spark, [" ", "\t\n", " a ", None], blank_to_null) == [None, None, "a", None]
+    texts = [w + "x" + w for w in WHITESPACE] + [WHITESPACE, "", None, " \n"]
+    assert evaluate(spark, texts, not_blank) == [True] * len(WHITESPACE) + [False, False, None, False]
     assert evaluate(spark, [" MeMBer\t", None], fold) == ["member", None]
 
 

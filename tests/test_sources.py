@@ -49,6 +49,19 @@ def test_raw_trips_by_pattern(spark, tmp_path):
     assert rows[0].started_at == dt.datetime(2024, 1, 5, 8)
 
 
+def test_raw_trips_by_header_name(spark, tmp_path):
+    names = ["extra", *reversed([f.name for f in RAW_TRIP])]
+    cells = {"ride_id": "r1", "started_at": "2024-01-05 08:00:00", "start_lat": "nan", "end_lat": "x", "end_lng": "1.5",
+             "start_station_name": "NA", "end_station_name": '"B, C"'}
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join(cells.get(n, "") for n in names) + "\n")
+    row = read_raw_trips(spark, str(tmp_path)).first()
+    assert (row.ride_id, row.started_at, row.end_lng) == ("r1", dt.datetime(2024, 1, 5, 8), 1.5)
+    assert (row.start_lat, row.end_lat, row.start_station_name, row.end_station_name) == (None, None, None, "B, C")
+    (tmp_path / "b.csv").write_text(f"{RAW_HEADER}\n{trip_line('r2')}\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_raw_trips(spark, str(tmp_path)).collect()
+
+
 def test_first_arrival_over_files_and_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text(f"{RAW_HEADER}\n{trip_line('r1', name='z')}\n{trip_line('r1', name='b')}\n")
     (tmp_path / "b.csv").write_text(f"{RAW_HEADER}\n{trip_line('r1', name='a')}\n{trip_line('r2', name='c')}\n")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmart.plans import marts
 from tripmart.plans.events import clean_events
-from tripmart.sources import read_event_stream, read_station_feed
+from tripmart.sources import decode_events, read_event_stream, read_station_feed
 from tripmart.sources.schemas import STATION_EVENT, STATION_INFO, STATION_STATUS
 from tripmart.streaming import (
     append_batches,
@@ -23,6 +23,7 @@ from tripmart.streaming import (
     validate_events,
     write_split_stream,
 )
+from tripmart.streaming.sinks import append_batch
 from tripmart.streaming.state import current_slot
 
 from .oracle import spark_rows
@@ -95,6 +96,25 @@ def test_split_stream(spark, tmp_path):
         assert spark_rows(got) == spark_rows(expected)
 
 
+def test_messages_are_decoded_and_split(spark, tmp_path):
+    rows = sample_events(60)
+    events = spark.createDataFrame(rows, STATION_EVENT)
+    events.select(F.to_json(F.struct(*NAMES)).alias("value")).repartition(3).write.text(f"{tmp_path}/topic")
+    messages = read_event_stream(spark, f"{tmp_path}/topic", "value string", "text", {"maxFilesPerTrigger": "1"})
+    paths = [f"{tmp_path}/{p}" for p in ("valid", "invalid", "checkpoint")]
+    finish(write_split_stream(decode_events(messages), *paths))
+    for path, expected in zip(paths, split_valid_invalid(events)):
+        assert spark_rows(spark.read.parquet(path).drop("batch_id")) == spark_rows(expected)
+
+
+def test_a_batch_run_again_leaves_no_copies(spark, tmp_path):
+    rows = spark.createDataFrame(sample_events(20), STATION_EVENT)
+    for _ in range(2):
+        append_batch(rows, f"{tmp_path}/out", 0)
+    append_batch(rows, f"{tmp_path}/out", 1)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2 * rows.count()
+
+
 def test_dedupe_stream(spark, tmp_path):
     rows = sample_events()
     land(spark, rows, f"{tmp_path}/in", 4)

@@ -4,7 +4,7 @@ from .casts import safe_date, safe_double, safe_long, safe_timestamp
 from .geo import EARTH_RADIUS_KM, distance_km
 from .rounding import hundredths, mean_2dp, ratio_2dp, round_2dp
 from .temporal import day_name, elapsed_seconds, is_weekend, time_of_day
-from .text import WHITESPACE, blank_to_null, fold, trim_ws
+from .text import WHITESPACE, blank_to_null, fold, not_blank, trim_ws
 
 __all__ = [
     "EARTH_RADIUS_KM",
@@ -17,6 +17,7 @@ __all__ = [
     "hundredths",
     "is_weekend",
     "mean_2dp",
+    "not_blank",
     "ratio_2dp",
     "round_2dp",
     "safe_date",

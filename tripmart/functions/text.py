@@ -18,6 +18,11 @@ def trim_ws(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def not_blank(c: Column) -> Column:
+    """Whether anything is left after trimming. Stops at the first visible character."""
+    return c.rlike(f"[^{WHITESPACE}]")
+
+
 def blank_to_null(c: Column) -> Column:
     """Trim, then turn an empty result into NULL."""
     return F.nullif(trim_ws(c), F.lit(""))

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import trim_ws
+from ..functions import not_blank, trim_ws
 from ..operators import dedupe_first, total_order
 
 
 def valid_events(events: DataFrame) -> DataFrame:
     """Events with a non-blank station, a position on the globe, no negative counts and a timestamp."""
     return events.filter(
-        (trim_ws(F.col("station_id")) != "")
-        & (trim_ws(F.col("station_name")) != "")
+        not_blank(F.col("station_id"))
+        & not_blank(F.col("station_name"))
         & F.col("lat").between(-90, 90)
         & F.col("lon").between(-180, 180)
         & (F.col("capacity") >= 0)

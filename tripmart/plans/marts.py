@@ -166,18 +166,19 @@ def latest_station_status(events: DataFrame) -> DataFrame:
     return latest_per_key(events, ["station_id"], "event_timestamp")
 
 
-def compare_events(events: DataFrame) -> DataFrame:
+def compare_events(events: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """Add each event's predecessor at the station, the changes since, and the anomaly label.
 
-    One hour of one station is the unit of sorting. Timestamps are unique per station and carry
-    milliseconds, so that unit is bounded however many rows a single station holds.
+    One ``slice_unit`` of one station is the unit of sorting. Timestamps are unique per station and
+    carry milliseconds, so an hour is at most 3.6 million rows however many the station holds. Each
+    unit costs one carried row; take a day for feeds that report less than a few times per hour.
     """
     compared = with_previous(
         events,
         ["station_id"],
         ["event_timestamp"],
         ["num_bikes_available", "num_docks_available", "event_timestamp"],
-        slice_by=F.date_trunc("hour", "event_timestamp"),
+        slice_by=F.date_trunc(slice_unit, "event_timestamp"),
     )
     return drop_anomaly(
         compared,
@@ -208,6 +209,6 @@ def monitoring_columns(compared: DataFrame) -> DataFrame:
     )
 
 
-def station_anomaly(events: DataFrame) -> DataFrame:
+def station_anomaly(events: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """Every event next to its predecessor at the station, with abnormal bike drops marked."""
-    return monitoring_columns(compare_events(events))
+    return monitoring_columns(compare_events(events, slice_unit))

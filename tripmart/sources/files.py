@@ -2,40 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import RAW_TRIP, STAGING_TRIP
 
 # Position of a row in the drop: file, split of the file, row number inside the split.
 ARRIVAL = ("__file", "__split", "__row")
 
+# Cell texts that a raw file may use for a missing value (besides the empty cell).
+MISSING = (
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
+
 # Quotes are doubled inside quoted cells, as most CSV writers do; Spark's default is a backslash.
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 _TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _DAY_COLUMNS = ("year", "month", "day")
 
 
+def _cell(field: T.StructField) -> Column:
+    """A text cell as its declared type; missing-value texts, unreadable cells and NaN become NULL."""
+    text = F.col(field.name)
+    value = F.when(~text.isin(*MISSING), text).try_cast(field.dataType)
+    if field.dataType == T.DoubleType():
+        value = F.when(~F.isnan(value), value)
+    return value.alias(field.name)
+
+
 def read_raw_trips(
     spark: SparkSession, path: str, pattern: str = "*.csv", with_arrival: bool = False
 ) -> DataFrame:
     """Every CSV file of a folder whose name matches ``pattern``, as typed raw trips.
 
-    The columns are taken by header name, so files may order them differently or carry more of them.
-    ``with_arrival`` adds the columns of :data:`ARRIVAL` for a first-come order over files and rows.
+    Columns are found by header name, so they may come in any order and among others; all files of the
+    drop must share one header, and a file that differs is an error. ``with_arrival`` adds the columns
+    of :data:`ARRIVAL` for a first-come order over files and rows.
     """
-    names = [f.name for f in RAW_TRIP]
-    df = (
-        spark.read.options(**_CSV)
-        .option("pathGlobFilter", pattern)
-        .option("enforceSchema", False)
-        .schema(RAW_TRIP)
-        .csv(path)
-    )
+    drop = spark.read.options(**_CSV).option("pathGlobFilter", pattern)
+    header = drop.csv(path).schema  # all text: this only looks at the first line of one file
+    df = drop.schema(header).option("enforceSchema", False).csv(path)
+    cells = [_cell(f) for f in RAW_TRIP]
     if not with_arrival:
-        return df
+        return df.select(*cells)
     return df.select(
-        *names,
+        *cells,
         F.col("_metadata.file_path").alias(ARRIVAL[0]),
         F.col("_metadata.file_block_start").alias(ARRIVAL[1]),
         F.monotonically_increasing_id().alias(ARRIVAL[2]),
