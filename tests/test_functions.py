@@ -2,6 +2,8 @@
 
 import datetime as dt
 import math
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +131,13 @@ def test_rounding(spark):
         (None, None, None),
     ]
     assert evaluate(spark, [1.005, 2.0 / 3, 0.125], round_2dp, "double") == [1.0, 0.67, 0.13]
+
+
+def test_ratios_equal_decimal_arithmetic(spark):
+    rng = random.Random(11)
+    pairs = [(rng.randrange(10 ** rng.randrange(1, 12)), rng.randrange(1, 10 ** rng.randrange(1, 12))) for _ in range(500)]
+    cents = Decimal("0.01")
+    exact = [float((Decimal(a) / Decimal(b)).quantize(cents, ROUND_HALF_UP)) for a, b in pairs]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a long, b long")
+    got = df.orderBy("i").select(ratio_2dp(F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in got] == exact

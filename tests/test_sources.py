@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tripmart.operators import append_new
+from tripmart.plans import checks, ingest
 from tripmart.sources import (
     day_predicates,
     decode_events,
@@ -176,3 +177,23 @@ def test_scratch_is_below_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(base) and b.startswith(base)
+
+
+def test_batch_ingestion(spark, tmp_path):
+    drop, landing = tmp_path / "drop", str(tmp_path / "landing")
+    drop.mkdir()
+    (drop / "a.csv").write_text(f"{RAW_HEADER}\n{trip_line('r1')}\n{trip_line('r1', name='copy')}\n")
+    ensure_layers(spark, ["raw"])
+    for _ in range(2):  # loading the same drop again adds nothing
+        ingest.load_raw(spark, str(drop), "raw.trips")
+    (drop / "b.csv").write_text(f"{RAW_HEADER}\n{trip_line('r1', name='later')}\n{trip_line('r2', start='2025-01-01')}\n")
+    ingest.load_raw(spark, str(drop), "raw.trips")
+    stored = spark.table("raw.trips")
+    assert sorted((r.ride_id, r.start_station_name) for r in stored.collect()) == [("r1", "A"), ("r2", "A")]
+    ingest.land_trips(stored, landing, "2024-01-01", "2025-01-01")
+    got = read_staging_trips(spark, landing).collect()
+    assert [(r.ride_id, r.started_at, r.start_station_id, r.trip_date) for r in got] == [
+        ("r1", "2024-01-05 08:00:00.000000", "5303.10", "2024-01-05")
+    ]
+    with pytest.raises(checks.CheckFailed, match="raw trips"):
+        ingest.land_trips(stored, landing, "2030-01-01", "2031-01-01")

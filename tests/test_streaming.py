@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tripmart.plans import marts
 from tripmart.plans.events import clean_events
-from tripmart.sources import decode_events, read_event_stream, read_station_feed
+from tripmart.plans.ingest import ingest_messages
+from tripmart.sources import read_event_stream, read_station_feed
 from tripmart.sources.schemas import STATION_EVENT, STATION_INFO, STATION_STATUS
 from tripmart.streaming import (
     append_batches,
@@ -102,7 +103,7 @@ def test_messages_are_decoded_and_split(spark, tmp_path):
     events.select(F.to_json(F.struct(*NAMES)).alias("value")).repartition(3).write.text(f"{tmp_path}/topic")
     messages = read_event_stream(spark, f"{tmp_path}/topic", "value string", "text", {"maxFilesPerTrigger": "1"})
     paths = [f"{tmp_path}/{p}" for p in ("valid", "invalid", "checkpoint")]
-    finish(write_split_stream(decode_events(messages), *paths))
+    finish(ingest_messages(messages, *paths))
     for path, expected in zip(paths, split_valid_invalid(events)):
         assert spark_rows(spark.read.parquet(path).drop("batch_id")) == spark_rows(expected)
 

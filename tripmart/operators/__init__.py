@@ -2,7 +2,7 @@
 
 from .aggregates import count_distinct_multi, count_where, peak_bucket, share_of_total, top_k
 from .history import drop_anomaly, with_previous
-from .joins import append_new, full_outer_on, left_lookup
+from .joins import append_new, full_outer_on, left_lookup, new_rows
 from .pick import dedupe_first, latest_per_key, total_order
 from .sides import stack_sides
 
@@ -15,6 +15,7 @@ __all__ = [
     "full_outer_on",
     "latest_per_key",
     "left_lookup",
+    "new_rows",
     "peak_bucket",
     "share_of_total",
     "stack_sides",

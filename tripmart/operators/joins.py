@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from .pick import dedupe_first, total_order
 
 
-def append_new(
+def new_rows(
     existing: DataFrame, incoming: DataFrame, key: str, arrival: Sequence[str] = ()
 ) -> DataFrame:
-    """``existing`` plus the rows of ``incoming`` whose key is not stored yet; first arrival wins.
+    """The rows of ``incoming`` whose key is not stored yet, one per key; first arrival wins.
 
     ``arrival`` names the columns of ``incoming`` that give the order of arrival; they are dropped from
     the result. Any remaining tie is settled by content. A NULL key is an error, as for a primary key.
+    Only the key column of ``existing`` is read.
     """
     keyed = incoming.withColumn(
         key, F.coalesce(F.col(key), F.raise_error(F.lit(f"NULL in key column {key}")))
@@ -27,8 +28,14 @@ def append_new(
     )
     first = dedupe_first(keyed, [key], order).drop(*arrival)
     # The window left the rows hash-partitioned by the key, so this join does not shuffle them again.
-    fresh = first.join(existing.select(key), key, "left_anti")
-    return existing.unionByName(fresh.select(*existing.columns))
+    return first.join(existing.select(key), key, "left_anti").select(*existing.columns)
+
+
+def append_new(
+    existing: DataFrame, incoming: DataFrame, key: str, arrival: Sequence[str] = ()
+) -> DataFrame:
+    """``existing`` plus its :func:`new_rows`."""
+    return existing.unionByName(new_rows(existing, incoming, key, arrival))
 
 
 def full_outer_on(

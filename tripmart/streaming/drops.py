@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import dedupe_first, latest_per_key, total_order
-from .sinks import _start, append_batch
+from .sinks import append_batch, start_query
 
 _RELEASED = "__released"
 _KEYS = ["station_id", "event_timestamp"]
@@ -86,7 +86,7 @@ def detect_drops_stream(
     def process(batch: DataFrame, batch_id: int) -> None:
         _step(batch, batch_id, path, compare, lateness_s)
 
-    return _start(events, checkpoint, process, trigger or {"availableNow": True}, "append")
+    return start_query(events, checkpoint, process, trigger or {"availableNow": True}, "append")
 
 
 def read_drops(

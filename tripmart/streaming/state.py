@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .sinks import _start
+from .sinks import start_query
 
 _EVENT_TIME = "__event_time"
 
@@ -51,7 +51,7 @@ def latest_status_stream(
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{current_slot(batch_id)}")
 
-    return _start(table, checkpoint, process, trigger or {"availableNow": True}, "complete")
+    return start_query(table, checkpoint, process, trigger or {"availableNow": True}, "complete")
 
 
 def current_slot(batch_id: int) -> str:
