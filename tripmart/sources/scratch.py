@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+#: For a session of one process only, which has no other machines to share files with.
+_LOCAL_FOLDER = "/tmp/checkpoints"
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new path below the folder all executors share.
 
-    The session names that folder in ``spark.checkpoint.dir``. Only a local session without the setting
-    falls back to a temporary folder of the machine; on a cluster the setting is required.
+    The session names that folder in ``spark.checkpoint.dir``. Without the setting, a session whose driver
+    and executor are one process uses ``/tmp/checkpoints``; any cluster, also a local one, must set it.
     """
     base = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {_SETTING} to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="tripmart-")
+        base = _LOCAL_FOLDER
     return f"{base.rstrip('/')}/tripmart/{purpose}-{uuid.uuid4().hex}"
