@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.langid import identify, train
+from tripmart.llm.neardup import near_duplicates
 from tripmart.llm.substring import remove_repeats
 
 
@@ -17,14 +19,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Whether a document is kept from learning: crc32 of its id as text leaves remainder 2 modulo 4."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out()))
+    out = identify(docs, model)
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words; the digest is of the kept words joined by one space."""
     out = remove_repeats(_table(spark, sf_dir, "documents"), min_words=13)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of two words, links from 80 percent on."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_near_dedup": op8_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
