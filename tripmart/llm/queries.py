@@ -10,7 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.chat import render_chats
+from tripmart.llm.decontaminate import contained_items
 from tripmart.llm.langid import identify, train
+from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
 from tripmart.llm.neardup import near_duplicates
 from tripmart.llm.substring import remove_repeats
 
@@ -24,6 +27,14 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = train(docs.where(~held_out()))
@@ -31,6 +42,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words; the digest is of the kept words joined by one space."""
     out = remove_repeats(_table(spark, sf_dir, "documents"), min_words=13)
@@ -43,9 +58,74 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
+    "op2_decontaminate": op2_decontaminate,
     "op3_language_id": op3_language_id,
+    "op5_license_scan": op5_license_scan,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
+_SHINGLES = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
+
+_OP1 = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+talks AS (
+    SELECT conv_id, list({'r': role, 't': text} ORDER BY turn, role) AS said,
+           string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10), ''
+                      ORDER BY turn, role) AS chat
+    FROM turns GROUP BY conv_id),
+same AS (SELECT said, min(conv_id) AS conv_id, min(chat) AS chat, count(*) AS n_copies FROM talks GROUP BY said)
+SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(len(said) AS BIGINT) AS n_turns, n_copies, chat
+FROM same a
+WHERE NOT EXISTS (
+    SELECT 1 FROM same b WHERE b.said[1] = a.said[1] AND len(b.said) > len(a.said) AND b.said[1:len(a.said)] = a.said)
+"""
+
+_OP2 = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format(text="text")} AS w FROM documents),
+b AS (SELECT min(item_id) AS item_id, w FROM
+      (SELECT item_id, {_WORDS.format(text="text")} AS w FROM benchmark) GROUP BY w HAVING len(w) >= 5),
+item_shingles AS (SELECT item_id, len(s) AS n, unnest(s) AS s FROM (SELECT item_id, {_SHINGLES} AS s FROM b)),
+doc_shingles AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s FROM d WHERE len(w) >= 5),
+hits AS (SELECT doc_id, item_id, n, count(*) AS shared FROM doc_shingles JOIN item_shingles USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, CAST(n AS BIGINT) AS n_item_shingles, shared AS n_shared,
+       CAST(shared AS DOUBLE) / n AS containment
+FROM hits WHERE shared >= ceil(round(n * 0.8, 6))
+"""
+
+
+def _license_sql(threshold: float = 0.8) -> str:
+    """Every passage against every template of which it has a bigram."""
+    quoted = [(name, [x.replace("'", "''") for x in template_bigrams(text)]) for name, text in TEMPLATES]
+    values = ", ".join("({}, '{}', [{}])".format(k, n, ", ".join(f"'{x}'" for x in b)) for k, (n, b) in enumerate(quoted))
+    return f"""
+WITH templates(k, license, bigrams) AS (VALUES {values}),
+parts AS (
+    SELECT doc_id, unnest(list_distinct(list_concat(list_concat(
+        string_split(text, chr(10)),
+        string_split(regexp_replace(text, '([.!?;])\\s+', '\\1' || chr(10), 'g'), chr(10))),
+        string_split_regex(text, '\\n\\s*\\n')))) AS part
+    FROM documents),
+folded AS (SELECT doc_id, {_WORDS.format(text="part")} AS w FROM parts),
+passages AS (
+    SELECT DISTINCT doc_id, list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS bigrams
+    FROM folded WHERE len(w) > 1),
+named AS (SELECT row_number() OVER () AS id, doc_id, bigrams FROM passages),
+pairs AS (
+    SELECT id, doc_id, len(bigrams) AS a, unnest(bigrams) AS g FROM named),
+wanted AS (SELECT k, license, len(bigrams) AS b, unnest(bigrams) AS g FROM templates),
+scored AS (
+    SELECT id, doc_id, k, license, 2.0::DOUBLE * count(*) / (a + b) AS dice
+    FROM pairs JOIN wanted USING (g) GROUP BY id, doc_id, k, license, a, b)
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT id) AS n_matches
+FROM scored WHERE dice >= {threshold} GROUP BY doc_id, license
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_chat_format": _OP1,
+    "op2_decontaminate": _OP2,
+    "op5_license_scan": _license_sql(),
+}
