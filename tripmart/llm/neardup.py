@@ -419,7 +419,8 @@ def near_duplicates(
     groups = connected_components(candidates).withColumnRenamed("component", "__group")
     sizes = groups.groupBy("__group").agg(F.count("*").alias("__count"))
     wanted = groups.join(sizes, "__group").select(F.col("node").alias("__id"), "__group", "__count")
-    full = texts.join(wanted, "__id").select("__id", "__text", "__group", "__count")
+    # By shuffle and hash at any size: the plan stays the same as tables grow, and texts are not sorted.
+    full = texts.join(wanted.hint("shuffle_hash"), "__id").select("__id", "__text", "__group", "__count")
     full = full.mapInArrow(_set_rows(shingle_words), "__id long, __group long, __count long, __set binary")
     pairs = _blocks(full.where(F.length("__set") > 0), "__group", "__count", BLOCK)
     pairs = pairs.select("__pair", "__id", "__set").repartition("__pair").sortWithinPartitions("__pair")
