@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tripmart.llm.decontaminate import contained_items
 from tripmart.llm.langid import identify, train
 from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
 from tripmart.llm.neardup import near_duplicates
+from tripmart.llm.packing import pack
 from tripmart.llm.substring import remove_repeats
 
 
@@ -57,6 +59,12 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 4096 ids; the ids themselves are left out, their checksums stay."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(_table(spark, sf_dir, "documents"), path, end_id=2, window=4096, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -64,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_packing": op9_packing,
 }
 
 _WORDS = r"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
