@@ -36,7 +36,7 @@ def tables(spark, tmp_path_factory):
     words = docs[9][1].split()
     words[40] = "changed"
     docs.append([301, " ".join(words), "en"])
-    docs += [[302, "123 456", "en"], [303, None, "en"], [304, "", None], [305, "漢字仮名交じり文" * 40, "en"]]
+    docs += [[302, "123 456", "en"], [303, None, "en"], [304, "", None], [305, "漢字仮名交じり文" * 40, None]]
     rows = [(i, t, lang, "s", len(t or "")) for i, t, lang in docs]
     path = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{path}/documents.parquet")

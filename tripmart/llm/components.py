@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,22 @@ class _Forest:
             self.parent[max(a, b)] = min(a, b)
 
 
+def settle(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least member reachable over the pairs (a, b) from each of 0..size-1; arrays of one task."""
+    label = np.arange(size)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
 def _local_forest(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Stars of the edges of one task. Beyond ``most`` nodes they are given out and a new forest begins."""
 

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.components import connected_components
+from tripmart.llm.blocks import block_pairs
+from tripmart.llm.components import connected_components, settle
 from tripmart.llm.wordhash import mix, sequences, split_groups, text_chunks, words
 from tripmart.sources.scratch import scratch_path
 
@@ -186,22 +187,6 @@ def _nodes(part: pa.RecordBatch, at: np.ndarray, path: np.ndarray) -> pa.RecordB
     )
 
 
-def _settle(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least member reachable over the pairs (a, b) from each of 0..size-1."""
-    label = np.arange(size)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _similar(threshold: float):
     """Least number of equal coordinates that a pair at the threshold has but once in some 30,000 cases."""
     p = threshold + (1 - threshold) / 4
@@ -240,11 +225,11 @@ def _compare(threshold: float):
                 right.append(to[equal])
                 pending += int(equal.sum())
                 if pending > 100_000 or step % 16 == 0:
-                    label = _settle(len(path), np.concatenate(left), np.concatenate(right))
+                    label = settle(len(path), np.concatenate(left), np.concatenate(right))
                     moved = np.flatnonzero(label != np.arange(len(path)))
                     left, right, pending = [moved], [label[moved]], 0
         if left:
-            label = _settle(len(path), np.concatenate(left), np.concatenate(right))
+            label = settle(len(path), np.concatenate(left), np.concatenate(right))
         moved = np.flatnonzero(label != np.arange(len(path)))
         return pa.RecordBatch.from_arrays(
             [pa.array(ids[moved], pa.int64()), pa.array(ids[label[moved]], pa.int64())], ["a", "b"]
@@ -257,20 +242,6 @@ def _compare(threshold: float):
     return run
 
 
-def _blocks(rows: DataFrame, group: str, count: str, most: int) -> DataFrame:
-    """Deal each group into blocks of about ``most`` rows; a row goes to each pair of blocks that has its own.
-
-    Adds ``__pair`` (hash of group and pair) and ``__side``: 0 where the pair is a block with itself, else 1 or 2.
-    """
-    blocks = F.ceil(F.col(count) / most)
-    own = F.pmod(F.xxhash64("__id"), blocks)
-    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("__other")
-    dealt = rows.withColumn("__own", own).select("*", other)
-    low, high = F.least("__own", "__other"), F.greatest("__own", "__other")
-    side = F.when(F.col("__own") == F.col("__other"), 0).when(F.col("__own") == low, 1).otherwise(2)
-    return dealt.select("*", F.xxhash64(group, low, high).alias("__pair"), side.cast("int").alias("__side"))
-
-
 def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, recall: float, base: str) -> DataFrame:
     """Edges (a, b) that connect all candidate pairs of ``classes``."""
     n = classes.count()
@@ -292,7 +263,7 @@ def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, recal
             break
         rest = frontier.join(large, "__path")
         if k == _MORE_ROUNDS:
-            pairs = _blocks(rest, "__path", "__count", LEAF).withColumn("__path", F.col("__pair"))
+            pairs = block_pairs(rest, "__path", "__id", "__count", LEAF // 2).withColumn("__path", F.col("__pair"))
             found.append(_search(pairs, threshold, f"{base}/edges-blocks"))
         else:
             again = rest.select("__path", "__id").join(classes.select(*columns), "__id")
@@ -351,7 +322,7 @@ def _confirm(percent: int):
         shared = _shared(sets)
         union = size[:, None] + size[None, :] - shared
         a, b = np.nonzero(np.triu(100 * shared >= percent * union, 1))
-        label = _settle(len(ids), a, b)
+        label = settle(len(ids), a, b)
         moved = np.flatnonzero(label != np.arange(len(ids)))
         return ids[moved], ids[label[moved]]
 
@@ -422,7 +393,7 @@ def near_duplicates(
     # By shuffle and hash at any size: the plan stays the same as tables grow, and texts are not sorted.
     full = texts.join(wanted.hint("shuffle_hash"), "__id").select("__id", "__text", "__group", "__count")
     full = full.mapInArrow(_set_rows(shingle_words), "__id long, __group long, __count long, __set binary")
-    pairs = _blocks(full.where(F.length("__set") > 0), "__group", "__count", BLOCK)
+    pairs = block_pairs(full.where(F.length("__set") > 0), "__group", "__id", "__count", BLOCK)
     pairs = pairs.select("__pair", "__id", "__set").repartition("__pair").sortWithinPartitions("__pair")
     pairs.mapInArrow(_confirm(percent), "a long, b long").write.parquet(f"{base}/links")
     links = spark.read.parquet(f"{base}/links")

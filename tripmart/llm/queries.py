@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.chat import render_chats
 from tripmart.llm.decontaminate import contained_items
+from tripmart.llm.embeddings import near_vectors
 from tripmart.llm.langid import identify, train
 from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
 from tripmart.llm.neardup import near_duplicates
@@ -65,6 +66,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), path, end_id=2, window=4096, with_ids=False)
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 _WORDS = r"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
