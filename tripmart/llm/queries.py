@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from tripmart.llm.chat import render_chats
 from tripmart.llm.decontaminate import contained_items
 from tripmart.llm.embeddings import near_vectors
+from tripmart.llm.htmltext import extract_text, train_pages
 from tripmart.llm.langid import identify, train
 from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
 from tripmart.llm.neardup import near_duplicates
 from tripmart.llm.packing import pack
 from tripmart.llm.substring import remove_repeats
+from tripmart.llm.tokencount import count_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,10 +47,22 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    out = extract_text(pages, train_pages(pages))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the 32k vocabulary; the score is rounded, as sums of floats depend on their order."""
+    out = count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_words", "n_tokens", F.round("score", 3).alias("score"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words; the digest is of the kept words joined by one space."""
     out = remove_repeats(_table(spark, sf_dir, "documents"), min_words=13)
@@ -74,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
     "op3_language_id": op3_language_id,
+    "op4_html_text": op4_html_text,
     "op5_license_scan": op5_license_scan,
+    "op6_token_counts": op6_token_counts,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
