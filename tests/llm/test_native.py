@@ -143,7 +143,7 @@ def test_licenses(spark):
         (8, "MIT", "x"),
         (9, "Released under the MIT License.", "x"),
         (9, "Released under the MIT License.", "x"),
-        (10, "word " * 30_000 + "\nThis work is licensed under the GNU General Public License, version 3.", "x"),
+        (10, "word " * 20_000 + "\nThis work is licensed under the GNU General Public License, version 3.", "x"),
     ]
     df = spark.createDataFrame(docs, "doc_id long, text string, license string").repartition(3)
     got = {(r.doc_id, r.license, r.dice, r.n_matches) for r in scan_licenses(df).collect()}

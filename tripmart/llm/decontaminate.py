@@ -27,19 +27,32 @@ def folded_words(text: Column | str) -> Column:
     return F.array_remove(F.split(F.lower(text), _BETWEEN_WORDS), "")
 
 
+def computed(df: DataFrame, name: str, value: Column, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``name`` = ``value``, computed once per row.
+
+    A generator, as no predicate is pushed below it. Through a projection a predicate takes the whole expression
+    along, in a lambda even for each element, which makes long documents take quadratic time.
+    """
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
+
+
+def _runs(words: str, n: int, function: str) -> Column:
+    """``function`` of each ``n`` consecutive elements. They are read by place: ``slice`` would copy the whole
+    array for each run, which takes time with the square of a document's length.
+    """
+    each = ", ".join(f"get({words}, i + {k})" for k in range(n))
+    return F.expr(f"transform(sequence(0, size({words}) - {n}), i -> {function}{each}))")
+
+
 def shingle_texts(words: str, n: int) -> Column:
     """Distinct shingles of the array column ``words``; fewer than ``n`` words have none."""
-    joined = F.expr(
-        f"transform(sequence(0, size({words}) - {n}), i -> array_join(slice({words}, i + 1, {n}), ' '))"
-    )
     none = F.array().cast("array<string>")
-    return F.when(F.size(words) >= n, F.array_distinct(joined)).otherwise(none)
+    return F.when(F.size(words) >= n, F.array_distinct(_runs(words, n, "concat_ws(' ', "))).otherwise(none)
 
 
 def _shingle_hashes(words: str, n: int) -> Column:
-    """Hashes of the shingles, the same as ``xxhash64`` of the words one after another."""
-    hashed = F.expr(f"transform(sequence(0, size({words}) - {n}), i -> xxhash64(slice({words}, i + 1, {n})))")
-    return F.when(F.size(words) >= n, hashed).otherwise(F.array().cast("array<bigint>"))
+    none = F.array().cast("array<bigint>")
+    return F.when(F.size(words) >= n, _runs(words, n, "xxhash64(")).otherwise(none)
 
 
 def contained_items(
@@ -62,15 +75,14 @@ def contained_items(
     ids are kept as an id of their own (an item's: larger than all others); empty tables give no rows.
     """
     n = shingle_words
+    bench = items.select(
+        F.coalesce(F.col(item_col).cast("long"), F.lit(_NULL_ID)).alias("__item"),
+        F.col(item_text_col).cast("string").alias("__text"),
+    )
+    bench = computed(bench, "__words", folded_words("__text"), "__item").where(F.size("__words") >= n)
+    bench = bench.groupBy("__words").agg(F.min("__item").alias("__item"))
     prepared = (
-        items.select(
-            F.coalesce(F.col(item_col).cast("long"), F.lit(_NULL_ID)).alias("__item"),
-            folded_words(F.col(item_text_col).cast("string")).alias("__words"),
-        )
-        .where(F.size("__words") >= n)
-        .groupBy("__words")
-        .agg(F.min("__item").alias("__item"))
-        .select("__item", "__words", shingle_texts("__words", n).alias("__shingles"))
+        computed(bench, "__shingles", shingle_texts("__words", n), "__item", "__words")
         .withColumn("__size", F.size("__shingles"))
         .withColumn("__need", F.ceil(F.round(F.col("__size") * threshold, 6)).cast("int"))
     )
@@ -97,7 +109,7 @@ def contained_items(
     ).withColumn("__hash", F.xxhash64("__text"))
     hashes = F.filter(_shingle_hashes("__words", n), lambda x: x <= F.lit(top))
     keys = (
-        texts.select("__id", "__hash", folded_words("__text").alias("__words"))
+        computed(texts, "__words", folded_words("__text"), "__id", "__hash")
         .where(F.size("__words") >= n)
         .select("__id", "__hash", F.explode(F.array_distinct(hashes)).alias("__key"))
     )
@@ -105,11 +117,12 @@ def contained_items(
 
     # The text travels, not its shingles: they are made once more where document and item have met.
     whole = texts.join(candidates, ["__id", "__hash"]).select("__id", "__text", F.explode("__items").alias("__item"))
+    met = whole.join(prepared.select("__item", "__shingles", "__size", "__need"), "__item")
+    passed = ["__id", "__item", "__size", "__need"]
+    met = computed(met, "__words", folded_words("__text"), *passed, "__shingles")
     shared = F.size(F.array_intersect(shingle_texts("__words", n), "__shingles"))
     return (
-        whole.join(prepared.select("__item", "__shingles", "__size", "__need"), "__item")
-        .select("__id", "__item", "__size", "__need", "__shingles", folded_words("__text").alias("__words"))
-        .select("__id", "__item", "__size", "__need", shared.alias("__shared"))
+        computed(met, "__shared", shared, *passed)
         .where("__shared >= __need")
         .groupBy("__id", "__item")
         .agg(F.max("__size").cast("long").alias("n_item_shingles"), F.max("__shared").cast("long").alias("n_shared"))

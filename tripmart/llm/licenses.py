@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.decontaminate import folded_words
+from tripmart.llm.decontaminate import computed, folded_words, shingle_texts
 
 # Usual notices of public licences.
 TEMPLATES = (
@@ -72,11 +72,6 @@ def _units(text: str) -> Column:
     return F.array_distinct(F.concat(lines, sentences, paragraphs))
 
 
-def _bigrams(words: str) -> Column:
-    pairs = F.expr(f"transform(sequence(1, size({words}) - 1), i -> array_join(slice({words}, i, 2), ' '))")
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
-
-
 def scan_licenses(
     docs: DataFrame,
     threshold: float = 0.8,
@@ -100,13 +95,12 @@ def scan_licenses(
         *[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, b)).alias("bigrams")) for name, b in known]
     )
     any_bigram = F.array(*map(F.lit, dict.fromkeys(x for _, b in known for x in b)))
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    units = texts.select("__id", F.explode(_units("__text")).alias("__unit"))
+    # Distinct bigrams are at most one fewer than words; repeats within a passage can only lower them.
+    split = computed(units, "__words", folded_words("__unit"), "__id").where(F.size("__words") > least)
     passages = (
-        docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-        .select("__id", F.explode(_units("__text")).alias("__unit"))
-        .select("__id", folded_words("__unit").alias("__words"))
-        # Distinct bigrams are at most one fewer than words; repeats within a passage can only lower them.
-        .where(F.size("__words") > least)
-        .select("__id", _bigrams("__words").alias("__bigrams"))
+        computed(split, "__bigrams", shingle_texts("__words", 2), "__id")
         .where(F.size("__bigrams").between(least, most) & F.arrays_overlap("__bigrams", any_bigram))
         .select("__id", "__bigrams", F.explode(literal).alias("__t"))
     )
