@@ -67,7 +67,7 @@ def _edited(words, rng, n):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("leaf, block", [(512, 256), (8, 8)])
+@pytest.mark.parametrize("leaf, block", [(2048, 256), (8, 8)])
 def test_many_near_copies_of_one_text(spark, monkeypatch, leaf, block):
     """Small nodes and blocks make the trees branch on and both block joins split."""
     rng = random.Random(5)

@@ -30,11 +30,11 @@ from tripmart.sources.scratch import scratch_path
 #: Coordinates of a signature. Two bits of each make up the sketch of 32 bytes.
 COORDINATES = 128
 #: Classes that a node compares exhaustively without branching again.
-LEAF = 512
+LEAF = 2048
 #: Classes of a block where full sets are compared.
 BLOCK = 256
 #: Rounds of branching after the first, for nodes that are still too large.
-_MORE_ROUNDS = 2
+_MORE_ROUNDS = 1
 _LEVELS_A_ROUND = 2
 #: A random pair of documents shares about this part of its minwise tokens.
 _CHANCE = 0.1
@@ -263,7 +263,7 @@ def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, recal
             break
         rest = frontier.join(large, "__path")
         if k == _MORE_ROUNDS:
-            pairs = block_pairs(rest, "__path", "__id", "__count", LEAF // 2).withColumn("__path", F.col("__pair"))
+            pairs = block_pairs(rest, "__path", "__id", "__count", LEAF).withColumn("__path", F.col("__pair"))
             found.append(_search(pairs, threshold, f"{base}/edges-blocks"))
         else:
             again = rest.select("__path", "__id").join(classes.select(*columns), "__id")
