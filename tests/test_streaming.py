@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
@@ -13,12 +14,12 @@ from tripmart.plans.ingest import ingest_messages
 from tripmart.sources import read_event_stream, read_station_feed
 from tripmart.sources.schemas import STATION_EVENT, STATION_INFO, STATION_STATUS
 from tripmart.streaming import (
-    append_batches,
     build_events,
     dedupe_stream,
     detect_drops_stream,
     inject_faults,
     latest_status_stream,
+    read_deduped,
     read_drops,
     split_valid_invalid,
     validate_events,
@@ -117,12 +118,38 @@ def test_a_batch_run_again_leaves_no_copies(spark, tmp_path):
 
 
 def test_dedupe_stream(spark, tmp_path):
+    """Originals that come late, by more than a day and from a station never seen before, are kept."""
     rows = sample_events()
-    land(spark, rows, f"{tmp_path}/in", 4)
-    deduped = dedupe_stream(stream(spark, f"{tmp_path}/in"), ["station_id", "event_timestamp"], lateness="1 hour")
-    finish(append_batches(deduped, f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
-    got = spark.read.parquet(f"{tmp_path}/out").drop("batch_id")
+    rows += [event("new", -200_000, 5), event("new", -200_000, 5), event("hot", -90_000, 7), (None, *event("x", 9, 1)[1:])]
+    land(spark, [*rows, rows[0], rows[-1]], f"{tmp_path}/in", 6)
+    events = stream(spark, f"{tmp_path}/in")
+    keys = ["station_id", "event_timestamp"]
+    assert finish(dedupe_stream(events, keys, f"{tmp_path}/out", f"{tmp_path}/checkpoint")) == 5
+    got = read_deduped(spark, f"{tmp_path}/out", events.schema)
     assert spark_rows(got) == spark_rows(spark.createDataFrame(rows, STATION_EVENT).distinct())
+    with pytest.raises(ValueError):
+        dedupe_stream(events, ["station_id"], f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+
+
+def test_corrupt_messages_are_quarantined_with_their_payload(spark, tmp_path):
+    good = json.loads(spark.createDataFrame([event("s", 0, 1)], STATION_EVENT).toJSON().first())
+    lines = [
+        json.dumps(good),
+        json.dumps(good)[:50],
+        json.dumps({**good, "num_bikes_available": "abc"}),
+        json.dumps({k: v for k, v in good.items() if k != "num_docks_available"}),
+        json.dumps({k: v for k, v in good.items() if k not in ("station_name", "capacity", "num_ebikes_available")}),
+        "no json",
+    ]
+    (tmp_path / "topic").mkdir()
+    (tmp_path / "topic" / "m.txt").write_text("\n".join(lines))
+    messages = read_event_stream(spark, f"{tmp_path}/topic", "value string", "text")
+    paths = [f"{tmp_path}/{p}" for p in ("valid", "invalid", "checkpoint")]
+    finish(ingest_messages(messages, *paths))
+    assert spark.read.parquet(paths[0]).count() == 2
+    got = {r.raw_payload: r.error_reason for r in spark.read.parquet(paths[1]).collect()}
+    broken = "payload is undecodable"
+    assert got == {lines[1]: broken, lines[2]: broken, lines[3]: "num_docks_available is missing", lines[5]: broken}
 
 
 def test_latest_stream(spark, tmp_path):
@@ -158,13 +185,32 @@ def test_drops_stream_equals_batch(spark, tmp_path):
     assert late.join(got, ["station_id", "event_timestamp"], "left_anti").count() == 0
 
 
-def test_late_events_are_set_aside(spark, tmp_path):
-    rows = [event("s", 0, 90), event("s", 100, 80), event("s", 50, 10), event("s", 200, 70)]
-    last = run_drops(spark, tmp_path, rows, 2, lateness_s=0)
-    got = read_drops(spark, f"{tmp_path}/out", marts.compare_events, last)
-    assert sorted(r.num_bikes_available for r in got.collect()) == [70, 80, 90]
+def test_late_events_find_their_place(spark, tmp_path):
+    rows = [event("s", 0, 90), event("s", 100, 80), event("s", 50, 10), event("t", 7, 1), event("s", 200, 70), event("s", 100, 80)]
+    last = run_drops(spark, tmp_path, rows, 3, lateness_s=0)
+    got = marts.monitoring_columns(read_drops(spark, f"{tmp_path}/out", marts.compare_events, last))
+    want = marts.station_anomaly(clean_events(spark.createDataFrame(rows, STATION_EVENT)))
+    assert spark_rows(got) == spark_rows(want)
     late = spark.read.parquet(f"{tmp_path}/out/late")
-    assert [r.num_bikes_available for r in late.collect()] == [10]
+    assert sorted(r.num_bikes_available for r in late.collect()) == [1, 10, 80]
+
+
+def test_results_of_another_run_are_refused(spark, tmp_path):
+    rows = [event("s", 0, 90), event("s", 100, 80)]
+    run_drops(spark, tmp_path, rows, 2, lateness_s=0)
+    query = detect_drops_stream(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/other", marts.compare_events)
+    with pytest.raises(Exception, match="another run"):
+        query.awaitTermination()
+
+
+def test_ties_are_settled_alike(spark, tmp_path):
+    rows = [event("s", 0, 1), event("s", 5, 3), event("s", 5, 9), event("s", 5, 2), event("t", 1, 4), event("t", 1, None)]
+    land(spark, rows, f"{tmp_path}/in", 3)
+    last = finish(latest_status_stream(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    got = spark.read.parquet(f"{tmp_path}/out/{current_slot(last)}")
+    want = marts.latest_station_status(spark.createDataFrame(rows, STATION_EVENT))
+    assert spark_rows(got) == spark_rows(want)
+    assert {r.num_bikes_available for r in got.collect()} == {9, 4}
 
 
 def test_events_from_feeds(spark, tmp_path):
@@ -186,6 +232,22 @@ def test_events_from_feeds(spark, tmp_path):
         ("2", None, None, None, None, 4, 0, 0, True, False, False),
     ]
     assert all(r.event_timestamp.microsecond % 1000 == 0 for r in got.collect())
+    with pytest.raises(ValueError):
+        build_events(polled.drop("polled_at"), known)
+
+
+def test_polls_read_together_keep_their_times(spark, tmp_path):
+    """Three polls of one station are three events, also when one run reads them all."""
+    (tmp_path / "status").mkdir()
+    for k in range(3):
+        record = {"station_id": "1", "num_bikes_available": k, "num_docks_available": 1, "is_renting": 1}
+        file = tmp_path / "status" / f"{k}.json"
+        file.write_text(json.dumps({"data": {"stations": [record]}}))
+        os.utime(file, (1_700_000_000 + 60 * k, 1_700_000_000 + 60 * k))
+    info = spark.createDataFrame([("1", "one", 1.0, 1.0, 9)], STATION_INFO)
+    events = build_events(read_station_feed(spark, str(tmp_path / "status"), STATION_STATUS), info)
+    got = clean_events(events).orderBy("event_timestamp").collect()
+    assert [r.num_bikes_available for r in got] == [0, 1, 2]
 
 
 @pytest.mark.parametrize("seed", [0, 7])

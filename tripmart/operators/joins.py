@@ -43,16 +43,23 @@ def full_outer_on(
     right: DataFrame,
     left_key: Column,
     right_key: Column,
+    split: bool = False,
 ) -> DataFrame:
     """Full outer equi-join on two expressions; NULL keys match nothing.
 
-    Written as a left join plus the unmatched right rows. A native full outer join can neither
-    broadcast a small side nor have a hot key split by AQE; these two joins can.
+    A key that b left and s right rows share gives b * s rows; see ``strict`` of
+    :func:`tripmart.plans.stations.station_mapping` where that is not wanted.
+
+    With ``split`` it is written as a left join plus the unmatched right rows, which computes both sides twice.
+    A native full outer join can neither broadcast a small side nor have a hot key split by AQE; these two
+    joins can, so it pays where one side is small or a key is hot.
     """
     k = "__join_key"
     rk = "__right_key"
     l_keyed = left.withColumn(k, left_key)
     r_keyed = right.withColumn(rk, right_key)
+    if not split:
+        return l_keyed.join(r_keyed, F.col(k) == F.col(rk), "full").drop(k, rk)
     matched = l_keyed.join(r_keyed, F.col(k) == F.col(rk), "left").drop(k, rk)
     only_right = r_keyed.join(l_keyed.select(k), F.col(rk) == F.col(k), "left_anti").drop(rk)
     return matched.unionByName(only_right, allowMissingColumns=True)

@@ -38,10 +38,11 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], ts: str, tie_break: Sequence[Column] | None = None
 ) -> DataFrame:
-    """Row with the greatest ``ts`` per key; ties go to the first row in ``tie_break`` order."""
+    """Row with the greatest ``ts`` per key; ties go to the first row in ``tie_break`` order, by default to the
+    greater remaining columns, NULL being the least: the rule that a streaming maximum can follow as well."""
     order = [F.col(ts).desc_nulls_last()]
     if tie_break is None:
-        order = total_order(df, order, skip=[*keys, ts])
+        order += [F.col(c).desc_nulls_last() for c in df.columns if c not in {*keys, ts}]
     else:
         order += list(tie_break)
     return _first_row(df, keys, order)

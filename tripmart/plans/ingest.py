@@ -45,5 +45,5 @@ def ingest_messages(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Decode a stream of messages, validate it, and append valid and quarantined events to two sinks."""
-    events = decode_events(messages.select(column), column, fmt)
+    events = decode_events(messages.select(column), column, fmt, keep_payload=True)
     return write_split_stream(events, valid_path, invalid_path, checkpoint, trigger)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fold, safe_double
@@ -62,17 +62,20 @@ def stream_station_reference(events: DataFrame) -> DataFrame:
     return latest_per_key(named, ["stream_station_id"], "event_timestamp").drop("event_timestamp")
 
 
-def station_mapping(batch: DataFrame, stream: DataFrame) -> DataFrame:
+def station_mapping(batch: DataFrame, stream: DataFrame, strict: bool = False) -> DataFrame:
     """Batch and stream stations matched by folded name; a missing side is labelled.
 
-    A name shared by several stations of one side matches each of them.
+    A name shared by several stations of one side matches each of them, and so does a blank name: b blank batch
+    and s blank stream names give b * s rows. With ``strict`` a blank name matches nothing.
+
+    ``stream`` should come from valid events only, or a quarantined event may describe a station.
     """
-    joined = full_outer_on(
-        batch,
-        stream.drop("capacity"),
-        fold(F.col("batch_station_name")),
-        fold(F.col("stream_station_name")),
-    )
+
+    def key(name: str) -> Column:
+        folded = fold(F.col(name))
+        return F.nullif(folded, F.lit("")) if strict else folded
+
+    joined = full_outer_on(batch, stream.drop("capacity"), key("batch_station_name"), key("stream_station_name"))
     labels = {
         "batch_station_id": NO_BATCH,
         "batch_station_name": NO_BATCH,

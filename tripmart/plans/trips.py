@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,13 +55,18 @@ TRIP_ORDER = (
 )
 
 
-def type_trips(staging: DataFrame) -> DataFrame:
-    """The 14 text columns of staging as cleaned, typed columns; unreadable cells become NULL.
+def type_trips(staging: DataFrame, columns: Sequence[str] | None = None, day: str | None = None) -> DataFrame:
+    """The 14 text columns of staging, or those named, as cleaned, typed columns; unreadable cells become NULL.
 
-    The row is built by a generator so that it is computed once. Through a plain projection Catalyst
-    pushes later filters down and repeats the casts in every condition: measured 5 times slower.
+    The row is built by a generator so that it is computed once: through a plain projection Catalyst pushes
+    later filters down and repeats the casts in every condition (sf0.1, staging stored as Parquet: 2.2 s
+    against 3.2 s for the trip fact). A generator also stops column pruning and pushdown, so name the
+    ``columns`` that are needed, and the ``day`` (yyyy-MM-dd, compared with the raw text of ``trip_date``) that
+    the scan may filter by.
     """
-    row = F.struct(*[clean(F.col(c)).alias(c) for c, clean in _CLEANERS.items()])
+    if day is not None:
+        staging = staging.filter(F.col("trip_date") == day)
+    row = F.struct(*[_CLEANERS[c](F.col(c)).alias(c) for c in columns or _CLEANERS])
     return staging.select(F.inline(F.array(row)))
 
 
@@ -101,13 +108,13 @@ def enrich_trips(typed: DataFrame) -> DataFrame:
     )
 
 
-def clean_trips(staging: DataFrame) -> DataFrame:
-    """The trip fact: first valid row of each ride, enriched.
+def clean_trips(staging: DataFrame, day: str | None = None) -> DataFrame:
+    """The trip fact, or one ``day`` of it: first valid row of each ride, enriched.
 
     Filtering comes before the de-duplication, so an invalid early copy cannot hide a valid later one.
     The eight derived columns are added after the shuffle: they depend on the row alone.
     """
-    valid = valid_trips(type_trips(staging))
+    valid = valid_trips(type_trips(staging, day=day))
     first = [F.col(c).asc_nulls_first() for c in TRIP_ORDER]
     order = total_order(valid, first, skip=["ride_id", *TRIP_ORDER])
     return enrich_trips(dedupe_first(valid, ["ride_id"], order))

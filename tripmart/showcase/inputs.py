@@ -9,22 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import read_event_stream, scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Use all cores on an input of fewer files than cores.
-
-    The supplied tables are single files with one row group, which one task would read and transform
-    alone. A table of many files is left as it is. Rows are spread by the hash of ``columns``; a
-    round-robin spread would first sort them to be repeatable.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if len(df.inputFiles()) < cores else df
-
-
 _START = "timestampadd(SECOND, (l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 86400, l_shipdate)"
 _RIDE_SECONDS = (
     "(l_partkey * 37 + l_suppkey * 11) % 7200 - 300 + CASE WHEN l_partkey % 53 = 0 THEN 86400 ELSE 0 END"
@@ -62,8 +53,7 @@ TRIP_TEXT = {
 
 def staging_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """14 text columns, one row per ``lineitem`` row."""
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
-    return lines.selectExpr(*[f"{e} AS {c}" for c, e in TRIP_TEXT.items()])
+    return table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {c}" for c, e in TRIP_TEXT.items()])
 
 
 _STATION = "(user_id % 30)"
@@ -95,11 +85,36 @@ def station_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_station_events(table(spark, sf_dir, "events"))
 
 
+#: Micro-batches that a table is dealt to, and seconds by which its rows arrive late at most.
+ARRIVALS, DELAY_S = 6, 900
+
+
+def arriving(df: DataFrame, ts: str, identity: str) -> DataFrame:
+    """``df`` as an unbounded source of several micro-batches, in order of arrival.
+
+    Each row arrives up to 15 minutes after its time, by a hash of ``identity``, so copies may come in later
+    batches and rows out of order. Arrivals are cut in equal spans of time and landed span by span; the stream
+    takes one landed file at a time.
+    """
+    spark = df.sparkSession
+    delay = F.pmod(F.xxhash64(identity), F.lit(DELAY_S))
+    timed = df.withColumn("__arrival", F.unix_timestamp(F.col(ts).cast("timestamp")) + delay)
+    first, last = timed.agg(F.min("__arrival"), F.max("__arrival")).first()
+    path = scratch_path(spark, "arrivals")
+    span = (last - first) // ARRIVALS + 1
+    for k in range(ARRIVALS):
+        part = timed.filter(F.expr(f"(__arrival - {first}) div {span} = {k}")).drop("__arrival")
+        part.write.mode("append").parquet(path)
+    return read_event_stream(spark, path, df.schema, "parquet", {"maxFilesPerTrigger": "1"})
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table as an unbounded file source."""
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The ``events`` table, arriving in several batches."""
+    return arriving(table(spark, sf_dir, "events"), "ts", "event_id")
 
 
 def station_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_station_events(event_stream(spark, sf_dir))
+    """Station events, arriving in several batches; copies of an event arrive at different times."""
+    events = station_events(spark, sf_dir)
+    copy = F.concat_ws("|", "event_timestamp", F.monotonically_increasing_id())
+    return arriving(events.withColumn("__copy", copy), "event_timestamp", "__copy").drop("__copy")

@@ -136,15 +136,11 @@ WHERE ride_id IS NOT NULL AND started_at IS NOT NULL AND ended_at IS NOT NULL AN
   AND ride_duration_minutes > 0 AND ride_duration_minutes <= 1440
   AND start_station_id IS NOT NULL AND end_station_id IS NOT NULL AND member_casual IN ('member', 'casual')""",
 )
-_step(
-    "trips",
-    ("valid_trips",),
-    """SELECT * FROM valid_trips
-QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY started_at NULLS FIRST, ended_at NULLS FIRST,
+_FIRST_RIDE = """QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY started_at NULLS FIRST, ended_at NULLS FIRST,
   start_station_id NULLS FIRST, end_station_id NULLS FIRST, member_casual NULLS FIRST, rideable_type NULLS FIRST,
   end_lat NULLS FIRST, start_station_name NULLS FIRST, end_station_name NULLS FIRST, start_lat NULLS FIRST,
-  start_lng NULLS FIRST, end_lng NULLS FIRST, trip_date NULLS FIRST) = 1""",
-)
+  start_lng NULLS FIRST, end_lng NULLS FIRST, trip_date NULLS FIRST) = 1"""
+_step("trips", ("valid_trips",), f"SELECT * FROM valid_trips {_FIRST_RIDE}")
 _step(
     "valid_events",
     ("evs",),
@@ -173,13 +169,19 @@ FROM (
 ) AS sides
 WHERE id IS NOT NULL AND name IS NOT NULL GROUP BY id""",
 )
+_REASONS = """concat_ws(', ',
+  CASE WHEN station_id IS NULL OR station_id = '' THEN 'station_id is empty' END,
+  CASE WHEN num_bikes_available < 0 THEN 'num_bikes_available is negative' END,
+  CASE WHEN num_docks_available < 0 THEN 'num_docks_available is negative' END)"""
+_step("checked", ("evs",), f"SELECT *, {_REASONS} AS reasons FROM evs")
 _step(
     "stream_ref",
-    ("evs",),
+    ("checked",),
     """SELECT station_id AS stream_station_id, station_name AS stream_station_name,
   lat AS stream_lat, lon AS stream_lon, CAST(capacity AS BIGINT) AS capacity
-FROM evs WHERE station_id IS NOT NULL AND station_name IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY event_timestamp DESC, station_name, lat, lon) = 1""",
+FROM checked WHERE reasons = '' AND station_id IS NOT NULL AND station_name IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY event_timestamp DESC, station_name DESC, lat DESC, lon DESC)
+  = 1""",
 )
 _step(
     "mapping",
@@ -320,11 +322,6 @@ _JSON = ", ',', ".join(
         _json_field("event_timestamp", "'\"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%g') || '\"'"),
     ]
 )
-_REASONS = """concat_ws(', ',
-  CASE WHEN station_id IS NULL OR station_id = '' THEN 'station_id is empty' END,
-  CASE WHEN num_bikes_available < 0 THEN 'num_bikes_available is negative' END,
-  CASE WHEN num_docks_available < 0 THEN 'num_docks_available is negative' END)"""
-_step("checked", ("evs",), f"SELECT *, {_REASONS} AS reasons FROM evs")
 _VALID = "SELECT * EXCLUDE (reasons) FROM checked WHERE reasons = ''"
 _INVALID = (
     "SELECT station_id, reasons AS error_reason, "
@@ -346,7 +343,7 @@ FROM events LEFT JOIN supplier ON user_id = s_suppkey""",
 _step(
     "history",
     (),
-    """SELECT event_id, ts, user_id, event_type, value, lag(value) OVER w AS previous_value,
+    """SELECT *, lag(value) OVER w AS previous_value,
   lag(event_type) OVER w AS previous_event_type, lag(ts) OVER w AS previous_ts
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
@@ -369,8 +366,24 @@ _TRIP_RULES = {
 _LANDED_TIME = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
 _LINE_ORDER = "l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
 
+# Batch and stream follow one rule for equal times: the greater remaining columns, here the event id.
+_LATEST = """SELECT * REPLACE (date_trunc('day', ts) AS ts) FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_id DESC) = 1"""
+
+
+def _null_profile(subject: str, source: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT 'invalid values' AS \"check\", '{subject}' AS subject, '{metric}' AS metric, "
+        f"count(*) FILTER ({rule}) AS value, count(*) FILTER ({rule}) = 0 AS passed FROM {source}"
+        for metric, rule in _TRIP_RULES.items()
+    )
+
+
 ORACLES: dict[str, str] = {
     "fact_trips_cleaned": _sql(("trips",), "SELECT * FROM trips"),
+    "fact_trips_one_day": _sql(
+        ("valid_trips",), f"SELECT * FROM valid_trips WHERE trip_date = DATE '1996-06-15' {_FIRST_RIDE}"
+    ),
     "fact_events_cleaned": _sql(("ev",), "SELECT * FROM ev"),
     "events_valid": _sql(("checked",), _VALID),
     "events_invalid": _sql(("checked",), _INVALID),
@@ -443,13 +456,10 @@ ORACLES: dict[str, str] = {
         "count(*) AS value, count(*) = 0 AS passed "
         "FROM (SELECT ride_id FROM trips GROUP BY ride_id HAVING count(*) > 1) AS d",
     ),
-    "dq_null_profile": _sql(
-        ("typed",),
-        "\nUNION ALL ".join(
-            f"SELECT 'invalid values' AS \"check\", 'staging_trips' AS subject, '{metric}' AS metric, "
-            f"count(*) FILTER ({rule}) AS value, count(*) FILTER ({rule}) = 0 AS passed FROM typed"
-            for metric, rule in _TRIP_RULES.items()
-        ),
+    "dq_null_profile": _sql(("typed",), _null_profile("staging_trips", "typed")),
+    "dq_fact_null_profile": _sql(("trips",), _null_profile("fact_trips_cleaned", "trips")),
+    "dq_fact_duplicates": _sql(
+        ("trips",), "SELECT ride_id, count(*) AS total FROM trips GROUP BY ride_id HAVING count(*) > 1"
     ),
     "blank_to_null_fold": _sql(
         ("stg",),
@@ -467,7 +477,7 @@ ORACLES: dict[str, str] = {
     ),
     "trip_enrich": _sql(
         ("enriched",),
-        "SELECT * EXCLUDE (start_station_name, end_station_name, rideable_type) FROM enriched",
+        "SELECT * FROM enriched",
     ),
     "valid_trips_only": _sql(
         ("valid_trips",),
@@ -479,8 +489,7 @@ FROM valid_trips""",
     "dedupe_first_line": "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
     f"ORDER BY l_shipdate, l_partkey, {_LINE_ORDER}) = 1",
     "dedupe_event": _sql(("evs",), "SELECT DISTINCT * FROM evs"),
-    "latest_per_user": "SELECT * FROM events "
-    "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1",
+    "latest_per_user": _LATEST,
     "peak_hour_per_user": """SELECT user_id, peak_hour, n
 FROM (SELECT user_id, CAST(hour(ts) AS INTEGER) AS peak_hour, count(*) AS n FROM events GROUP BY 1, 2) AS h
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, peak_hour) = 1""",
@@ -562,10 +571,24 @@ FROM (SELECT * REPLACE (trim(station_id) AS station_id,
       FROM evs) AS spoiled""",
     ),
     "decode_payload": _sql(("evs",), "SELECT * FROM evs"),
+    "decode_corrupt": _sql(
+        ("checked",),
+        f"""SELECT * FROM (
+  SELECT CASE WHEN kind IN (1, 2) THEN 'payload is undecodable'
+              WHEN kind = 3 THEN concat_ws(', ', nullif(reasons, ''), 'is_renting is missing')
+              ELSE reasons END AS error_reason,
+    CASE WHEN kind = 1 THEN substring(message, 1, 40)
+         WHEN kind = 2 THEN regexp_replace(message, '"num_bikes_available":-?[0-9]+', '"num_bikes_available":"abc"')
+         WHEN kind = 3 THEN regexp_replace(message, ',"is_renting":(true|false)', '')
+         ELSE message END AS raw_payload
+  FROM (SELECT reasons, concat('{{', {_JSON}, '}}') AS message, CAST(epoch(event_timestamp) AS BIGINT) // 4 % 10 AS kind
+        FROM checked) AS m) AS s
+WHERE error_reason <> ''""",
+    ),
     "stream_split_valid": _sql(("checked",), _VALID),
     "stream_split_invalid": _sql(("checked",), _INVALID),
     "stream_dedupe": _sql(("evs",), "SELECT DISTINCT * FROM evs"),
-    "stream_latest": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, "
-    "event_id DESC) = 1",
+    "stream_latest": _LATEST,
     "stream_drops": _sql(("monitoring",), "SELECT * FROM monitoring"),
+    "stream_drops_late": _sql(("monitoring",), "SELECT * FROM monitoring"),
 }

@@ -30,12 +30,12 @@ from ..plans.trips import clean_trips, enrich_trips, type_trips, valid_trips
 from ..sources import decode_events, extract_range, read_staging_trips, scratch_path, trip_dates, write_daily
 from ..sources.schemas import RAW_TRIP
 from ..streaming import (
-    append_batches,
     build_events,
     dedupe_stream,
     detect_drops_stream,
     inject_faults,
     latest_status_stream,
+    read_deduped,
     read_drops,
     split_valid_invalid,
     validate_events,
@@ -69,9 +69,13 @@ def _round_positions(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in ("batch_lat", "batch_lon")})
 
 
+def _valid(spark: SparkSession, sf: str) -> DataFrame:
+    return split_valid_invalid(station_events(spark, sf))[0]
+
+
 def _mapping(spark: SparkSession, sf: str) -> DataFrame:
     batch = batch_station_reference(staging_trips(spark, sf))
-    return station_mapping(batch, stream_station_reference(station_events(spark, sf)))
+    return station_mapping(batch, stream_station_reference(_valid(spark, sf)))
 
 
 @query
@@ -86,7 +90,7 @@ def fact_events_cleaned(spark, sf):
 
 @query
 def events_valid(spark, sf):
-    return split_valid_invalid(station_events(spark, sf))[0]
+    return _valid(spark, sf)
 
 
 @query
@@ -101,7 +105,7 @@ def dim_batch_station_reference(spark, sf):
 
 @query
 def dim_stream_station_reference(spark, sf):
-    return stream_station_reference(station_events(spark, sf))
+    return stream_station_reference(_valid(spark, sf))
 
 
 @query
@@ -205,7 +209,7 @@ def dq_mart_counts(spark, sf):
 
 @query
 def dq_duplicates(spark, sf):
-    return checks.find_duplicates(type_trips(staging_trips(spark, sf)), "ride_id")
+    return checks.find_duplicates(type_trips(staging_trips(spark, sf), ["ride_id"]), "ride_id")
 
 
 @query
@@ -215,7 +219,19 @@ def dq_unique_ride(spark, sf):
 
 @query
 def dq_null_profile(spark, sf):
-    return checks.null_profile(type_trips(staging_trips(spark, sf)), "staging_trips", checks.trip_rules())
+    checked = ["ride_id", "started_at", "ended_at", "start_station_id", "end_station_id"]
+    typed = type_trips(staging_trips(spark, sf), checked)
+    return checks.null_profile(typed, "staging_trips", checks.trip_rules())
+
+
+@query
+def dq_fact_null_profile(spark, sf):
+    return checks.null_profile(_trips(spark, sf), "fact_trips_cleaned", checks.trip_rules())
+
+
+@query
+def dq_fact_duplicates(spark, sf):
+    return checks.find_duplicates(_trips(spark, sf), "ride_id")
 
 
 # ---------------------------------------------------------------- cleaning and filters
@@ -249,8 +265,13 @@ def safe_cast(spark, sf):
 
 @query
 def trip_enrich(spark, sf):
-    enriched = enrich_trips(type_trips(staging_trips(spark, sf)))
-    return enriched.drop("start_station_name", "end_station_name", "rideable_type")
+    return enrich_trips(type_trips(staging_trips(spark, sf)))
+
+
+@query
+def fact_trips_one_day(spark, sf):
+    """One day of the fact: the scan is filtered by the raw text of the day."""
+    return clean_trips(staging_trips(spark, sf), day="1996-06-15")
 
 
 @query
@@ -281,9 +302,14 @@ def dedupe_event(spark, sf):
     return dedupe_first(events, keys, total_order(events, [], skip=keys))
 
 
+def _coarse(events: DataFrame) -> DataFrame:
+    """Times by the day, so most users have several events of the same, latest time."""
+    return events.withColumn("ts", F.date_trunc("day", "ts").cast(events.schema["ts"].dataType))
+
+
 @query
 def latest_per_user(spark, sf):
-    return latest_per_key(table(spark, sf, "events"), ["user_id"], "ts", [F.col("event_id")])
+    return latest_per_key(_coarse(table(spark, sf, "events")), ["user_id"], "ts")
 
 
 @query
@@ -294,7 +320,7 @@ def peak_hour_per_user(spark, sf):
 
 def _user_history(spark: SparkSession, sf: str) -> DataFrame:
     return with_previous(
-        table(spark, sf, "events").drop("props"),
+        table(spark, sf, "events"),
         ["user_id"],
         ["ts", "event_id"],
         ["value", "event_type", "ts"],
@@ -477,10 +503,30 @@ def decode_payload(spark, sf):
     return decode_events(events.select(message))
 
 
+@query
+def decode_corrupt(spark, sf):
+    """Quarantine of messages of which some are cut off, hold a text for a number, or lack a required field."""
+    events = station_events(spark, sf)
+    whole = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
+    kind = F.unix_timestamp(F.col("event_timestamp").cast("timestamp")) / 4 % 10
+    spoiled = (
+        F.when(kind == 1, F.substring(whole, 1, 40))
+        .when(kind == 2, F.regexp_replace(whole, '"num_bikes_available":-?[0-9]+', '"num_bikes_available":"abc"'))
+        .when(kind == 3, F.regexp_replace(whole, ',"is_renting":(true|false)', ""))
+        .otherwise(whole)
+    )
+    rows = events.select(spoiled.alias("value"), F.col("event_timestamp").alias("sent"))
+    _, invalid = split_valid_invalid(decode_events(rows, keep_payload=True))
+    return invalid.select("error_reason", "raw_payload")
+
+
 def _finish(streaming_query) -> int:
-    """Wait for an ``availableNow`` run; returns the number of its last micro-batch."""
+    """Wait for an ``availableNow`` run of several micro-batches; returns the number of the last."""
     streaming_query.awaitTermination()
-    return max((p["batchId"] for p in streaming_query.recentProgress), default=0)
+    with_rows = [p["batchId"] for p in streaming_query.recentProgress if p["numInputRows"]]
+    if len(with_rows) < 4:
+        raise AssertionError(f"only {len(with_rows)} micro-batches had rows")
+    return max(with_rows)
 
 
 @query
@@ -508,25 +554,35 @@ def stream_split_invalid(spark, sf):
 @query
 def stream_dedupe(spark, sf):
     out = scratch_path(spark, "dedupe")
-    deduped = dedupe_stream(station_event_stream(spark, sf), ["station_id", "event_timestamp"])
-    _finish(append_batches(deduped, f"{out}/events", f"{out}/checkpoint"))
-    return spark.read.parquet(f"{out}/events").drop("batch_id")
+    events = station_event_stream(spark, sf)
+    _finish(dedupe_stream(events, ["station_id", "event_timestamp"], f"{out}/events", f"{out}/checkpoint"))
+    return read_deduped(spark, f"{out}/events", events.schema)
 
 
 @query
 def stream_latest(spark, sf):
     out = scratch_path(spark, "latest")
-    events = event_stream(spark, sf)
+    events = _coarse(event_stream(spark, sf))
     last = _finish(latest_status_stream(events, f"{out}/latest", f"{out}/checkpoint", "user_id", "ts"))
     return spark.read.parquet(f"{out}/latest/{current_slot(last)}")
 
 
-@query
-def stream_drops(spark, sf):
+def _drops(spark: SparkSession, sf: str, lateness_s: int) -> DataFrame:
     """The anomaly mart from a stream, with the rows still waiting at its end released."""
     out = scratch_path(spark, "drops")
     events = valid_events(station_event_stream(spark, sf)).withColumns(
         {c: F.trim(c) for c in ("station_id", "station_name")}
     )
-    last = _finish(detect_drops_stream(events, out, f"{out}/checkpoint", marts.compare_events))
+    last = _finish(detect_drops_stream(events, out, f"{out}/checkpoint", marts.compare_events, lateness_s))
     return marts.monitoring_columns(read_drops(spark, out, marts.compare_events, last))
+
+
+@query
+def stream_drops(spark, sf):
+    return _drops(spark, sf, lateness_s=600)
+
+
+@query
+def stream_drops_late(spark, sf):
+    """No lateness is waited for, so many rows come late and are put in their place when read."""
+    return _drops(spark, sf, lateness_s=0)

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 
 def read_station_feed(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """One row per station record, with ``poll`` (the snapshot file) and ``position`` (1-based).
+    """One row per station record, with ``poll`` (the snapshot file), ``polled_at`` and ``position`` (1-based).
+
+    ``polled_at`` is when the snapshot was stored, so polls that are read together keep times of their own.
 
     Each snapshot is one file and one task; a snapshot lists each station of a system once.
     """
@@ -17,6 +19,8 @@ def read_station_feed(spark: SparkSession, path: str, record: T.StructType) -> D
     )
     df = spark.read.schema(snapshot).option("multiLine", True).json(path)
     exploded = df.select(
-        F.col("_metadata.file_path").alias("poll"), F.posexplode("data.stations").alias("pos", "s")
+        F.col("_metadata.file_path").alias("poll"),
+        F.date_trunc("millisecond", "_metadata.file_modification_time").cast("timestamp_ntz").alias("polled_at"),
+        F.posexplode("data.stations").alias("pos", "s")
     )
-    return exploded.select("poll", (F.col("pos") + 1).alias("position"), "s.*")
+    return exploded.select("poll", "polled_at", (F.col("pos") + 1).alias("position"), "s.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import types as T
 
 _S, _D, _I, _B, _TS = (
@@ -49,6 +51,10 @@ STATION_EVENT = _struct(
     ("is_returning", _B),
     ("event_timestamp", _TS),
 )
+# The fields a publisher may leave out; all others are required.
+OPTIONAL_FIELDS = ("station_name", "lat", "lon", "capacity", "num_ebikes_available")
+REQUIRED_FIELDS = tuple(f.name for f in STATION_EVENT if f.name not in OPTIONAL_FIELDS)
+
 INVALID_EVENT = _struct(
     ("station_id", _S), ("error_reason", _S), ("raw_payload", _S), ("event_timestamp", _TS)
 )
@@ -67,20 +73,23 @@ STATION_STATUS = _struct(
     ("is_returning", _S),
 )
 
+_AVRO_TYPES = {
+    "string": "string",
+    "double": "double",
+    "int": "int",
+    "boolean": "boolean",
+    "timestamp_ntz": {"type": "long", "logicalType": "timestamp-millis"},
+}
+
+
+def _avro_field(field: T.StructField) -> dict:
+    kind = _AVRO_TYPES[field.dataType.simpleString()]
+    if field.name in OPTIONAL_FIELDS:
+        return {"name": field.name, "type": ["null", kind], "default": None}
+    return {"name": field.name, "type": kind}
+
+
 # The wire format of a station event as an Avro record (used only with the spark-avro package).
-STATION_EVENT_AVRO = """
-{"type": "record", "name": "StationEvent", "fields": [
-  {"name": "station_id", "type": "string"},
-  {"name": "station_name", "type": ["null", "string"], "default": null},
-  {"name": "lat", "type": ["null", "double"], "default": null},
-  {"name": "lon", "type": ["null", "double"], "default": null},
-  {"name": "capacity", "type": ["null", "int"], "default": null},
-  {"name": "num_bikes_available", "type": "int"},
-  {"name": "num_docks_available", "type": "int"},
-  {"name": "num_ebikes_available", "type": ["null", "int"], "default": null},
-  {"name": "is_installed", "type": "boolean"},
-  {"name": "is_renting", "type": "boolean"},
-  {"name": "is_returning", "type": "boolean"},
-  {"name": "event_timestamp", "type": {"type": "long", "logicalType": "timestamp-millis"}}
-]}
-"""
+STATION_EVENT_AVRO = json.dumps(
+    {"type": "record", "name": "StationEvent", "fields": [_avro_field(f) for f in STATION_EVENT]}
+)

@@ -3,7 +3,7 @@
 from .drops import detect_drops_stream, read_drops
 from .feed import build_events, inject_faults
 from .sinks import append_batches, write_split_stream
-from .state import dedupe_stream, latest_status_stream
+from .state import dedupe_stream, latest_status_stream, read_deduped
 from .validate import split_valid_invalid, validate_events
 
 __all__ = [
@@ -13,6 +13,7 @@ __all__ = [
     "detect_drops_stream",
     "inject_faults",
     "latest_status_stream",
+    "read_deduped",
     "read_drops",
     "split_valid_invalid",
     "validate_events",

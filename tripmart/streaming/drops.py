@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,8 +50,12 @@ def _up_to(frontier: datetime | None) -> Column:
 def _step(
     batch: DataFrame, batch_id: int, path: str, compare: Callable[[DataFrame], DataFrame], lateness_s: int
 ) -> None:
-    fresh = batch.withColumn(_RELEASED, F.lit(False))
-    if batch_id:
+    fresh = batch.withColumn(_RELEASED, F.lit(False)).persist()
+    arrived = fresh
+    if not batch_id:
+        _refuse_old_results(batch.sparkSession, path)
+        append_batch(batch.filter(F.lit(False)), f"{path}/{LATE}", batch_id)
+    else:
         state = batch.sparkSession.read.schema(fresh.schema).parquet(_slot(path, batch_id - 1))
         is_late = _up_to(_frontier(state, lateness_s))
         append_batch(fresh.filter(is_late).drop(_RELEASED), f"{path}/{LATE}", batch_id)
@@ -66,6 +71,17 @@ def _step(
     last = latest_per_key(due, ["station_id"], "event_timestamp", []).withColumn(_RELEASED, F.lit(True))
     last.unionByName(rows.filter(~is_due)).write.mode("overwrite").parquet(_slot(path, batch_id))
     rows.unpersist()
+    arrived.unpersist()
+
+
+def _refuse_old_results(spark: SparkSession, path: str) -> None:
+    """A first batch among later ones means that the checkpoint of ``path`` is another one."""
+    try:
+        old = spark.read.parquet(f"{path}/{CHANGES}").filter("batch_id > 0").take(1)
+    except AnalysisException:
+        return
+    if old:
+        raise ValueError(f"{path} holds results of another run; use its checkpoint or a new path")
 
 
 def detect_drops_stream(
@@ -80,7 +96,7 @@ def detect_drops_stream(
 
     ``compare`` adds the comparison columns and keeps all others, as in
     :func:`tripmart.plans.marts.compare_events`. Events that arrive after their place in the order was
-    passed go to ``path/late``, so none is lost.
+    passed go to ``path/late``; :func:`read_drops` puts them in their place.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -95,10 +111,21 @@ def read_drops(
     compare: Callable[[DataFrame], DataFrame],
     last_batch: int | None = None,
 ) -> DataFrame:
-    """The changes written so far. With ``last_batch`` the rows still waiting are compared and added,
-    which for a stream that has ended gives exactly the batch answer."""
+    """The changes written so far, late events included. With ``last_batch`` the rows still waiting are compared
+    and added, which for a stream that has ended gives exactly the batch answer, whatever the lateness.
+
+    A late event changes its successor's comparison as well, so the stations that have one are compared again;
+    all others are read as they were written.
+    """
     done = spark.read.parquet(f"{path}/{CHANGES}").drop("batch_id")
-    if last_batch is None:
-        return done
-    state = spark.read.parquet(_slot(path, last_batch))
-    return done.unionByName(compare(state).filter(~F.col(_RELEASED)).drop(_RELEASED))
+    if last_batch is not None:
+        state = spark.read.parquet(_slot(path, last_batch))
+        done = done.unionByName(compare(state).filter(~F.col(_RELEASED)).drop(_RELEASED))
+    late = spark.read.parquet(f"{path}/{LATE}").drop("batch_id")
+    stations = late.select("station_id").distinct()
+    placed = done.join(stations, "station_id", "left_semi").select(*late.columns).withColumn(_RELEASED, F.lit(True))
+    every = placed.unionByName(late.withColumn(_RELEASED, F.lit(False)))
+    # A late copy never replaces the row that was there first.
+    order = total_order(every, [F.col(_RELEASED).desc()], skip=[*_KEYS, _RELEASED])
+    again = compare(dedupe_first(every, _KEYS, order).drop(_RELEASED))
+    return done.join(stations, "station_id", "left_anti").unionByName(again)

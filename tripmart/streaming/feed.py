@@ -37,11 +37,14 @@ def build_events(
     """Station events: status records with the attributes of their station, NULL if it is unknown.
 
     ``info`` is the static side, read once; ``last_by`` says which of several records of a station
-    counts. ``status`` may be a stream. ``now`` is the event time, by default the current time in
-    milliseconds, which is constant within a micro-batch.
+    counts. ``status`` may be a stream. ``now`` is the event time, by default the column ``polled_at`` that
+    :func:`tripmart.sources.read_station_feed` adds. There is no clock to fall back on: polls that are read
+    together would share its time, and cleaning would take all but one of them for copies.
     """
     if now is None:
-        now = F.date_trunc("millisecond", F.current_timestamp()).cast("timestamp_ntz")
+        if "polled_at" not in status.columns:
+            raise ValueError("status has no column polled_at; name the event time with now=")
+        now = F.col("polled_at")
     known = info.withColumn("station_id", F.col("station_id").cast("string"))
     typed = status.withColumn("station_id", F.col("station_id").cast("string"))
     attributes = {"station_name": "name", "lat": "lat", "lon": "lon", "capacity": "capacity"}

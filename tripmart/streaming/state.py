@@ -3,29 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
-from .sinks import start_query
+from ..operators import dedupe_first, total_order
+from .sinks import BATCH, start_query
 
-_EVENT_TIME = "__event_time"
+_DAY = "event_day"
 
 
 def dedupe_stream(
-    events: DataFrame, keys: Sequence[str], ts: str = "event_timestamp", lateness: str = "10 minutes"
-) -> DataFrame:
-    """Drop copies of a message that arrive within ``lateness`` of each other.
+    events: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    checkpoint: str,
+    ts: str = "event_timestamp",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append each message to ``path`` once, however late it or its copies arrive.
 
-    State is keyed by the whole message key, so a busy station spreads over all state partitions, and
-    the watermark bounds it. Event time must be an instant; zone-free columns are read in the session
-    time zone, which is UTC.
+    A micro-batch keeps one row per key and adds those whose key is not stored yet. ``keys`` must hold ``ts``:
+    stored rows lie in folders by batch and event day, and only days that the batch touches are read, their key
+    columns alone. Nothing is dropped for being late, and no state grows with the stream. A key with NULLs
+    equals itself. A batch that runs again replaces its own folder.
     """
-    timed = events.withColumn(_EVENT_TIME, F.col(ts).cast("timestamp"))
-    return (
-        timed.withWatermark(_EVENT_TIME, lateness).dropDuplicatesWithinWatermark(list(keys)).drop(_EVENT_TIME)
-    )
+    if ts not in keys:
+        raise ValueError(f"keys must hold {ts}")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = dedupe_first(batch, keys, total_order(batch, [], skip=keys)).withColumn(_DAY, F.to_date(ts))
+        rows = rows.persist()
+        if batch_id:
+            days = rows.select(_DAY).distinct()
+            stored = spark.read.schema(rows.withColumn(BATCH, F.lit(0)).schema).parquet(path)
+            stored = stored.where(F.col(BATCH) < batch_id).select(*keys, _DAY)
+            # The days of a batch are few; Spark prunes the folders of all others by this join.
+            stored = stored.join(days, stored[_DAY].eqNullSafe(days[_DAY]), "left_semi")
+            known = stored.select(*[F.col(k).alias(f"__{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+            new = rows.join(known, reduce(and_, same), "left_anti")
+        else:
+            new = rows
+        new.write.mode("overwrite").partitionBy(_DAY).parquet(f"{path}/{BATCH}={batch_id}")
+        rows.unpersist()
+
+    return start_query(events, checkpoint, process, trigger or {"availableNow": True}, "append")
+
+
+def read_deduped(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The messages that :func:`dedupe_stream` has stored; ``schema`` is that of its events."""
+    partitions = StructType([StructField(BATCH, IntegerType()), StructField(_DAY, DateType())])
+    return spark.read.schema(StructType([*schema.fields, *partitions.fields])).parquet(path).drop(BATCH, _DAY)
 
 
 def latest_status_stream(
@@ -39,7 +73,8 @@ def latest_status_stream(
     """Keep the most recent event of every station in a table that each micro-batch replaces.
 
     The aggregate combines on the map side, so a micro-batch sends one row per station and task; the
-    state holds one row per station. Equal timestamps are settled by the greater remaining columns. The
+    state holds one row per station. Equal timestamps are settled by the greater remaining columns, as by
+    :func:`tripmart.operators.latest_per_key`. The
     table alternates between two folders, so a reader never meets a half-written one: read the folder
     that :func:`current_slot` names for the last finished batch.
     """
