@@ -308,8 +308,8 @@ def decide(model: Model, entropy: np.ndarray, size: np.ndarray) -> tuple[list[st
     return [model.languages[k] if s else UNKNOWN for k, s in zip(best, some, strict=True)], score, rejected
 
 
-def _predicted(model: Model):
-    """Rows whose last column is the text to rows (other columns, language, score, rejected)."""
+def _predicted(model: Model, with_text: bool):
+    """Rows whose last column is the text to rows (other columns, the text if wanted, language, score, rejected)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
@@ -317,9 +317,10 @@ def _predicted(model: Model):
             for at, to, data, bounds in text_chunks(batch.column(batch.num_columns - 1)):
                 language, score, rejected = decide(model, *scorer(data, bounds))
                 part = batch.slice(at, to - at)
+                n = part.num_columns - (not with_text)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(language, pa.string()), pa.array(score), pa.array(rejected)],
-                    [*part.schema.names[:-1], "lang_pred", "score", "rejected"],
+                    [*part.columns[:n], pa.array(language, pa.string()), pa.array(score), pa.array(rejected)],
+                    [*part.schema.names[:n], "lang_pred", "score", "rejected"],
                 )
 
     return run
@@ -333,10 +334,14 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",),
     any other text gets a learned language, and is rejected where its cross-entropy exceeds the calibrated
     limit, which is wider for short texts. Repeated rows get equal results; an empty table gives no rows.
     """
-    passed = [f"__p{k}" for k in range(len(keep))]
+    # The text goes through the batches once, also where it is kept.
+    names = {c: "__text" if c == text_col else f"__p{k}" for k, c in enumerate(keep)}
+    passed = [c for c in keep if c != text_col]
     rows = docs.select(
-        *[F.col(c).alias(p) for c, p in zip(keep, passed, strict=True)], F.col(text_col).cast("string").alias("__text")
+        *[F.col(c).alias(names[c]) for c in passed], F.col(text_col).cast("string").alias("__text")
     )
-    kinds = "".join(f"{p} {rows.schema[p].dataType.simpleString()}, " for p in passed)
-    out = rows.mapInArrow(_predicted(model), f"{kinds}lang_pred string, score double, rejected boolean")
-    return out.select(*[F.col(p).alias(c) for c, p in zip(keep, passed, strict=True)], "lang_pred", "score", "rejected")
+    kinds = "".join(f"{names[c]} {rows.schema[names[c]].dataType.simpleString()}, " for c in passed)
+    kinds += "__text string, " * (text_col in keep)
+    predicted = _predicted(model, text_col in keep)
+    out = rows.mapInArrow(predicted, f"{kinds}lang_pred string, score double, rejected boolean")
+    return out.select(*[F.col(names[c]).alias(c) for c in keep], "lang_pred", "score", "rejected")
