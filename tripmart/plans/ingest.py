@@ -14,13 +14,17 @@ from ..streaming import write_split_stream
 from . import checks
 
 
-def load_raw(spark: SparkSession, path: str, table: str, pattern: str = "*.csv") -> None:
+def load_raw(
+    spark: SparkSession, path: str, table: str, pattern: str = "*.csv", location: str | None = None
+) -> None:
     """Append the rides of a CSV drop that the raw table does not hold yet.
 
-    Only new rows are written; loading the same drop again adds nothing.
+    Only new rows are written; loading the same drop again adds nothing. A table that is not there yet is made,
+    at ``location`` if it is given.
     """
     if not spark.catalog.tableExists(table):
-        spark.createDataFrame([], RAW_TRIP).write.format("parquet").saveAsTable(table)
+        empty = spark.createDataFrame([], RAW_TRIP).write.format("parquet")
+        (empty.option("path", location) if location else empty).saveAsTable(table)
     incoming = read_raw_trips(spark, path, pattern, with_arrival=True)
     new_rows(spark.table(table), incoming, "ride_id", ARRIVAL).write.mode("append").saveAsTable(table)
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import ensure_layers, register_views, write_fact, write_table
+from ..streaming.validate import split_valid_invalid
 from . import checks, marts
 from .events import clean_events
 from .stations import batch_station_reference, station_mapping, stream_station_reference
@@ -22,33 +23,41 @@ class Silver:
     mapping: DataFrame
 
 
-def build_dimensions(staging_trips: DataFrame, staging_events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Station references of both sides, as replaced tables."""
+def build_dimensions(
+    staging_trips: DataFrame, staging_events: DataFrame, prefix: str = ""
+) -> tuple[DataFrame, DataFrame]:
+    """Station references of both sides, as replaced tables. Only valid events describe a station."""
+    valid, _ = split_valid_invalid(staging_events)
     return (
-        write_table(batch_station_reference(staging_trips), "staging.dim_batch_station_reference"),
-        write_table(stream_station_reference(staging_events), "staging.dim_stream_station_reference"),
+        write_table(batch_station_reference(staging_trips), f"{prefix}staging.dim_batch_station_reference"),
+        write_table(stream_station_reference(valid), f"{prefix}staging.dim_stream_station_reference"),
     )
 
 
 def build_silver(
-    staging_trips: DataFrame, staging_events: DataFrame, batch_ref: DataFrame, stream_ref: DataFrame
+    staging_trips: DataFrame, staging_events: DataFrame, batch_ref: DataFrame, stream_ref: DataFrame, prefix: str = ""
 ) -> Silver:
     """The cleaned facts, laid out by day and clustered for the marts, and the station mapping.
 
+    ``prefix`` is put before the names of the namespaces.
+
     Parquet cannot partition by an expression, so the event day becomes a column of the layout; reading
     back drops it again.
     """
     trips = write_fact(
-        clean_trips(staging_trips), "silver.fact_trips_cleaned", "trip_date", ["member_casual", "start_station_id"]
+        clean_trips(staging_trips),
+        f"{prefix}silver.fact_trips_cleaned",
+        "trip_date",
+        ["member_casual", "start_station_id"],
     )
     cleaned = clean_events(staging_events)
     events = write_fact(
         cleaned.withColumn("event_date", cleaned.event_timestamp.cast("date")),
-        "silver.fact_valid_events_cleaned",
+        f"{prefix}silver.fact_valid_events_cleaned",
         "event_date",
         ["station_id"],
     ).drop("event_date")
-    mapping = write_table(station_mapping(batch_ref, stream_ref), "silver.dim_station_mapping")
+    mapping = write_table(station_mapping(batch_ref, stream_ref), f"{prefix}silver.dim_station_mapping")
     return Silver(trips, events, mapping)
 
 

@@ -533,6 +533,26 @@ ON lower({_trim('c_label')}) = lower({_trim('s_label')})""",
     AS num_docks_available)
 FROM (SELECT *, event_id % 500 + 1 AS position FROM feed) AS p""",
     ),
+    "medallion_fact_trips": _sql(("trips",), "SELECT * FROM trips"),
+    "medallion_fact_events": _sql(("ev",), "SELECT * FROM ev"),
+    "medallion_mapping": _sql(("mapping",), "SELECT * FROM mapping"),
+    "raw_drop_load": _sql(
+        ("stg",),
+        f"""SELECT ride_id, CASE WHEN rideable_type <> '' THEN rideable_type END AS rideable_type, started_at, ended_at,
+  start_station_name, nullif(start_station_id, '') AS start_station_id, end_station_name, end_station_id,
+  start_lat, start_lng, end_lat, end_lng, member_casual
+FROM (SELECT * EXCLUDE (trip_date) REPLACE (trim(ride_id) AS ride_id, {_timestamp('started_at')} AS started_at,
+        {_timestamp('ended_at')} AS ended_at, try_cast(start_lat AS DOUBLE) AS start_lat,
+        try_cast(start_lng AS DOUBLE) AS start_lng, try_cast(end_lat AS DOUBLE) AS end_lat,
+        try_cast(end_lng AS DOUBLE) AS end_lng, trim(end_station_id) AS end_station_id,
+        trim(member_casual) AS member_casual) FROM stg WHERE trim(ride_id) <> ''
+  QUALIFY row_number() OVER (PARTITION BY stg.ride_id ORDER BY stg.rideable_type, stg.started_at, stg.ended_at,
+    stg.start_station_name, stg.start_station_id, stg.end_station_name, stg.end_station_id, stg.start_lat,
+    stg.start_lng, stg.end_lat, stg.end_lng, stg.member_casual) = 1) AS t""",
+    ),
+    "station_feed_rows": """SELECT CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY CAST(s_suppkey AS VARCHAR))
+  AS INTEGER) AS position, CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS name, s_acctbal AS lat, -s_acctbal AS lon,
+  CAST(s_nationkey AS INTEGER) AS capacity FROM supplier""",
     "append_new_lines": f"""WITH lines AS (
   SELECT *, concat(l_orderkey, '-', l_linenumber) AS line_key FROM lineitem),
 stored AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +24,23 @@ from ..operators import (
     total_order,
     with_previous,
 )
-from ..plans import checks, marts, questions
+from ..plans import checks, ingest, marts, medallion, questions
 from ..plans.events import clean_events, valid_events
 from ..plans.stations import batch_station_reference, station_mapping, stream_station_reference
 from ..plans.trips import clean_trips, enrich_trips, type_trips, valid_trips
-from ..sources import decode_events, extract_range, read_staging_trips, scratch_path, trip_dates, write_daily
-from ..sources.schemas import RAW_TRIP
+from ..sources import (
+    decode_events,
+    ensure_layers,
+    extract_range,
+    read_staging_trips,
+    read_station_feed,
+    scratch_path,
+    trip_dates,
+    write_daily,
+    write_table,
+)
+from ..sources.schemas import RAW_TRIP, STATION_INFO
+from ..sources.tables import LAYERS
 from ..streaming import (
     build_events,
     dedupe_stream,
@@ -181,30 +193,57 @@ def dq_source_rows(spark, sf):
     return checks.expect_rows(orders, "orders", where=in_range)
 
 
+def _written(spark: SparkSession, sf: str) -> medallion.Silver:
+    """Dimensions and facts, written as tables in namespaces of their own and read back."""
+    prefix = f"run_{uuid.uuid4().hex[:12]}_"
+    ensure_layers(spark, [prefix + layer for layer in LAYERS], scratch_path(spark, "tables"))
+    trips = write_table(staging_trips(spark, sf), f"{prefix}staging.fact_trips")
+    events = write_table(station_events(spark, sf), f"{prefix}staging.fact_station_events")
+    return medallion.build_silver(trips, events, *medallion.build_dimensions(trips, events, prefix), prefix)
+
+
+@query
+def medallion_fact_trips(spark, sf):
+    return _written(spark, sf).trips
+
+
+@query
+def medallion_fact_events(spark, sf):
+    return _written(spark, sf).events
+
+
+@query
+def medallion_mapping(spark, sf):
+    return _round_positions(_written(spark, sf).mapping)
+
+
+def _stored(spark: SparkSession, sf: str) -> medallion.Silver:
+    """The facts and the mapping, each built once and written as plain files for checks that read them often."""
+    base = scratch_path(spark, "facts")
+    parts = {"trips": _trips(spark, sf), "events": _events(spark, sf), "mapping": _mapping(spark, sf)}
+    for name, df in parts.items():
+        df.write.parquet(f"{base}/{name}")
+    return medallion.Silver(**{name: spark.read.parquet(f"{base}/{name}") for name in parts})
+
+
 @query
 def dq_row_counts(spark, sf):
-    trips, events = staging_trips(spark, sf), station_events(spark, sf)
+    silver = _stored(spark, sf)
     tables = {
-        "staging_trips": trips,
-        "staging_events": events,
-        "fact_trips_cleaned": clean_trips(trips),
-        "fact_events_cleaned": clean_events(events),
-        "dim_station_mapping": _mapping(spark, sf),
+        "staging_trips": staging_trips(spark, sf),
+        "staging_events": station_events(spark, sf),
+        "fact_trips_cleaned": silver.trips,
+        "fact_events_cleaned": silver.events,
+        "dim_station_mapping": silver.mapping,
     }
     return checks.row_counts(tables, minimum=1)
 
 
 @query
 def dq_mart_counts(spark, sf):
-    names = (
-        "mart_daily_trip_summary",
-        "mart_latest_station_status",
-        "mart_station_anomaly",
-        "mart_station_summary",
-        "mart_station_user_summary",
-        "mart_user_type_summary",
-    )
-    return checks.row_counts({n: QUERIES[n](spark, sf) for n in names}, minimum=1)
+    gold = medallion.gold(_stored(spark, sf))
+    gold["mart_station_anomaly"] = gold.pop("mart_station_anomaly_monitoring")
+    return checks.row_counts(gold, minimum=1)
 
 
 @query
@@ -444,6 +483,43 @@ def inject_faults_feed(spark, sf):
     )
 
 
+@query
+def raw_drop_load(spark, sf):
+    """A drop of CSV files whose headers differ in order and in further columns, loaded twice into a raw table.
+
+    The order of copies within the drop is that of its files, so one copy of each ride goes into it.
+    """
+    raw = staging_trips(spark, sf).select(*[f.name for f in RAW_TRIP]).filter(blank_to_null(F.col("ride_id")).isNotNull())
+    raw = dedupe_first(raw, ["ride_id"], total_order(raw, [], skip=["ride_id"]))
+    drop, table_ = scratch_path(spark, "drop"), f"default.raw_{uuid.uuid4().hex[:12]}"
+    half = F.pmod(F.xxhash64("ride_id"), F.lit(2)) == 0
+    raw.filter(half).write.option("header", True).csv(f"{drop}/a")
+    swapped = raw.filter(~half).select(F.lit("x").alias("extra"), *reversed(raw.columns))
+    swapped.write.option("header", True).csv(f"{drop}/b")
+    for _ in range(2):
+        ingest.load_raw(spark, f"{drop}/*", table_, location=scratch_path(spark, "raw"))
+    return spark.table(table_)
+
+
+@query
+def station_feed_rows(spark, sf):
+    """Status snapshots written as feed files, one per region of the suppliers, and read again."""
+    records = F.struct(
+        F.col("s_suppkey").cast("string").alias("station_id"),
+        F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("lat"),
+        (-F.col("s_acctbal")).alias("lon"),
+        F.col("s_nationkey").cast("int").alias("capacity"),
+    )
+    suppliers = table(spark, sf, "supplier").groupBy("s_nationkey")
+    polls = suppliers.agg(F.sort_array(F.collect_list(records)).alias("stations"))
+    path = scratch_path(spark, "feed")
+    snapshots = polls.select("s_nationkey", F.struct("stations").alias("data"))
+    snapshots.repartition("s_nationkey").write.partitionBy("s_nationkey").json(path)
+    feed = read_station_feed(spark, path, STATION_INFO)
+    return feed.select("position", *[f.name for f in STATION_INFO])
+
+
 @query
 def append_new_lines(spark, sf):
     lines = table(spark, sf, "lineitem").withColumn("line_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))

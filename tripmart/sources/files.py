@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,22 +56,41 @@ def read_raw_trips(
 ) -> DataFrame:
     """Every CSV file of a folder whose name matches ``pattern``, as typed raw trips.
 
-    Columns are found by header name, so they may come in any order and among others; all files of the
-    drop must share one header, and a file that differs is an error. ``with_arrival`` adds the columns
-    of :data:`ARRIVAL` for a first-come order over files and rows.
+    Columns are found by header name in each file, so files may differ in the order of columns and in further
+    ones; a file without one of the columns is an error that names it. Files of equal header are read together.
+    ``with_arrival`` adds the columns of :data:`ARRIVAL` for a first-come order over files and rows.
     """
-    drop = spark.read.options(**_CSV).option("pathGlobFilter", pattern)
-    header = drop.csv(path).schema  # all text: this only looks at the first line of one file
-    df = drop.schema(header).option("enforceSchema", False).csv(path)
     cells = [_cell(f) for f in RAW_TRIP]
-    if not with_arrival:
-        return df.select(*cells)
-    return df.select(
-        *cells,
+    arrival = [
         F.col("_metadata.file_path").alias(ARRIVAL[0]),
         F.col("_metadata.file_block_start").alias(ARRIVAL[1]),
         F.monotonically_increasing_id().alias(ARRIVAL[2]),
+    ]
+    parts = []
+    for header, files in _headers(spark, path, pattern).items():
+        names = next(csv.reader([header]))
+        if missing := [f.name for f in RAW_TRIP if f.name not in names]:
+            raise ValueError(f"no column {', '.join(missing)} in {files[0]}")
+        layout = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        df = spark.read.options(**_CSV).schema(layout).option("enforceSchema", False).csv(files)
+        parts.append(df.select(*cells, *(arrival if with_arrival else [])))
+    if not parts:
+        raise ValueError(f"no file {pattern} with a header in {path}")
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _headers(spark: SparkSession, path: str, pattern: str) -> dict[str, list[str]]:
+    """First line of each file -> the files that have it. The lines are picked by a scan as plain text; what
+    comes to the driver is one line per layout and the paths, which it needs to plan the read in any case."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(path)
+    first = (
+        lines.filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), "value")
+        .groupBy("file")
+        .agg(F.min_by("value", "row").alias("header"))
     )
+    layouts = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    return {r.header.removeprefix("\ufeff"): list(r.files) for r in sorted(layouts, key=lambda r: r.files[0])}
 
 
 def write_daily(trips: DataFrame, path: str) -> None:

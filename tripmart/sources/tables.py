@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 LAYERS = ("staging", "silver", "gold")
 
 
-def ensure_layers(spark: SparkSession, layers: Sequence[str] = LAYERS) -> None:
-    """Create the namespaces that do not exist yet."""
+def ensure_layers(spark: SparkSession, layers: Sequence[str] = LAYERS, location: str | None = None) -> None:
+    """Create the namespaces that do not exist yet, below ``location`` instead of the warehouse if it is given."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        where = f" LOCATION '{location}/{layer}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{where}")
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
