@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_neardup import brute as brute_near
-from tests.llm.test_neardup import shingles
-from tests.llm.test_packing import Tokenizer, PATH
+from tests.llm.test_packing import PATH, Tokenizer
 from tests.llm.test_substring import brute as brute_repeats
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -86,4 +85,3 @@ def test_run(spark, tables):
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert total == sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in texts.values())
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(texts)
-    assert shingles("a b", 5)
