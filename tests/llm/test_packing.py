@@ -58,6 +58,16 @@ def test_edges(spark, window):
     assert pack(df.where("false"), PATH).count() == 0
 
 
+def test_words_are_cut_where_the_tokenizer_cuts(spark):
+    rng = random.Random(9)
+    parts = ["'s", "'", "'ll", "It", "é", "E\u0301", "=\u0338", ".", "***", "—", "9", "12", " ", "\n", "a", "Z", "|", "<|", "|>"]
+    parts += ["<|endoftext|>", "<|ENDOFTEXT|>", "-", "_", "ß", "Σ", "漢", "\x00", "\u200b", ",", '"', "&&", "don't"]
+    rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randrange(1, 30)))) for k in range(400)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), 256)
+    plain = [(k, t.replace("<", "")) for k, t in rows]
+    check(spark.createDataFrame(plain, "doc_id long, text string").repartition(2), 256)
+
+
 def test_levels():
     rng = random.Random(1)
     packing = SumOfSquares(32)

@@ -77,8 +77,11 @@ def text_chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tu
         at = to
 
 
-def words(data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> Words:
-    """The words of a chunk. ``lower`` folds A-Z before hashing."""
+def words(data: np.ndarray, bounds: np.ndarray, lower: bool = False, kinds: np.ndarray | None = None) -> Words:
+    """The words of a chunk. ``lower`` folds A-Z before hashing.
+
+    ``kinds`` (0, 1 or 2 for each byte) cuts words once more wherever bytes of kind 1 and 2 are neighbours.
+    """
     n = len(data)
     if lower:
         data = _LOWER[data]
@@ -90,6 +93,9 @@ def words(data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> Words:
     opens[0] = True
     opens[1:] = ~solid[:-1]
     opens[bounds[:-1][bounds[:-1] < n]] = True
+    if kinds is not None:
+        kind = kinds[data]
+        opens[1:] |= kind[:-1] + kind[1:] == 3
     closes = np.empty(n, dtype=bool)
     closes[:-1] = opens[1:] | ~solid[1:]
     closes[-1] = True
