@@ -152,3 +152,48 @@ def test_licenses(spark):
     assert scan_licenses(df.where("false")).count() == 0
     null = scan_licenses(spark.createDataFrame([(None, "All rights reserved.")], "doc_id long, text string")).collect()
     assert [(r.doc_id, r.license) for r in null] == [(None, "Proprietary")]
+
+
+def test_licenses_wrapped_over_lines_and_in_comments(spark):
+    header = """/*
+ * A tool for things.
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+ * GNU General Public License for more details.
+ */"""
+    more = " ".join(f"word{k}" for k in range(40))
+    mpl = next(text for name, text in TEMPLATES if name == "MPL-2.0")
+    mit = TEMPLATES[14][1].replace("copy of", "copy\n# of").replace("the rights", "the\n# rights")
+    docs = [
+        (1, "What follows is\nabout the tool. Licensed under the Apache\nLicense, Version 2.0.\nThe tool has more."),
+        (2, "Text before it, and\nThis work is licensed under the GNU\nGeneral Public License, version 3.\nSome more."),
+        (3, header),
+        (4, f"Some words stand before it in this line: {more} {mpl[:-1]} {more}"),
+        (5, f"# Some file with\n# {more}\n# {mit}\n# {more}"),
+        (6, "Here all rights\nreserved for members, and the MIT\nlicense plate is released under the seat."),
+        (7, "one is Licensed under the\nMIT License and two is released\nunder the MIT License as well"),
+        (8, "Released under the MIT License."),
+        (9, "word " * 20_000 + "All\nrights reserved\nby " + "word " * 20_000),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.license): (r.dice, r.n_matches) for r in scan_licenses(df).collect()}
+    assert not {(i, name) for i, name, _, _ in brute_licenses(docs)} - set(got)
+    assert {k: v for k, v in got.items() if v[0] == 1.0} == {
+        (1, "Apache-2.0"): (1.0, 1),
+        (2, "GPL-3.0"): (1.0, 1),
+        (3, "GPL-3.0"): (1.0, 1),
+        (4, "MPL-2.0"): (1.0, 1),
+        (5, "MIT"): (1.0, 1),
+        (6, "Proprietary"): (1.0, 1),
+        (7, "MIT"): (1.0, 2),
+        (8, "MIT"): (1.0, 1),
+        (9, "Proprietary"): (1.0, 1),
+    }
+    assert {k for k, v in got.items() if v[0] < 1.0} == {(2, "GPL-2.0")}

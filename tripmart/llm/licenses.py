@@ -2,6 +2,13 @@
 
 Lines, sentences and paragraphs of a document are compared with every template whose size allows the threshold:
 2 * shared / (a + b) >= t needs shared <= min(a, b), so b lies between a * t / (2 - t) and a * (2 - t) / t.
+
+A notice may be in none of these: wrapped over lines among other words, in a comment, inside a longer line. So
+runs of consecutive words are compared as well, whatever stands between the words. A run at the threshold shares
+at least b * t / (2 - t) bigrams with the template, hence it has one of any b - need + 1 of them: those of
+long words, as they are the rarest, are the template's anchors. Runs are tried around anchors only, each run at the first anchor
+in it, and only where enough of the template's bigrams are near. A text without anchors has no passage either.
+
 DataFrame functions only; the templates are constants of the plan.
 """
 
@@ -72,6 +79,96 @@ def _units(text: str) -> Column:
     return F.array_distinct(F.concat(lines, sentences, paragraphs))
 
 
+def _grams(words: str) -> Column:
+    """All bigrams of two words or more, in order."""
+    return F.expr(f"transform(sequence(0, size({words}) - 2), i -> concat_ws(' ', get({words}, i), get({words}, i + 1)))")
+
+
+def _need(n_bigrams: int, threshold: float) -> int:
+    """Bigrams of a template of so many that a passage at the threshold has at least."""
+    return math.ceil(threshold / (2 - threshold) * n_bigrams - 1e-9)
+
+
+def _anchored(texts: DataFrame, threshold: float, templates: tuple[tuple[str, str], ...]) -> DataFrame:
+    """Texts that hold an anchor, with their ``__words`` and the places of the anchors, ``__at``."""
+    anchors: dict[str, None] = {}
+    for _, text in templates:
+        bigrams = sorted(template_bigrams(text), key=lambda x: (-min(map(len, x.split())), -len(x), x))
+        anchors |= dict.fromkeys(bigrams[: len(bigrams) - _need(len(bigrams), threshold) + 1])
+    row = ("__id", "__hash", "__text")
+    split = computed(texts, "__words", folded_words("__text"), *row).where(F.size("__words") > 1)
+    firsts, seconds = zip(*(x.split() for x in anchors), strict=True)
+
+    # Single words first: most places end there, and no string is built for them.
+    def is_anchor(i: Column) -> Column:
+        a, b = F.get("__words", i), F.get("__words", i + 1)
+        return a.isin(*set(firsts)) & b.isin(*set(seconds)) & F.concat_ws(" ", a, b).isin(*anchors)
+
+    places = F.filter(F.sequence(F.lit(0), F.size("__words") - 2), is_anchor)
+    return computed(split, "__at", places, *row, "__words").where(F.size("__at") > 0)
+
+
+def _runs(anchored: DataFrame, threshold: float, templates: tuple[tuple[str, str], ...]) -> DataFrame:
+    """Per first anchor and template the best run of consecutive words that reaches the threshold.
+
+    ``__id``, ``__hash``, ``license``, ``__bigrams``, ``__dice``, ``__start``, ``__end`` (first and last bigram).
+    """
+    literal, reach = [], 0
+    for name, text in templates:
+        bigrams = template_bigrams(text)
+        most = math.floor((2 - threshold) / threshold * (len(re.findall(r"[^\W_]+", text)) - 1) + 1e-9)
+        reach = max(reach, most)
+        literal.append(
+            F.struct(
+                F.lit(name).alias("name"),
+                F.array(*map(F.lit, bigrams)).alias("bigrams"),
+                F.lit(_need(len(bigrams), threshold)).alias("need"),
+                F.lit(most).alias("most"),
+            )
+        )
+    row = ("__id", "__hash")
+    # Around each anchor the words that a run may take which has no anchor before it.
+    around = F.expr(
+        f"""transform(
+            transform(__at, (p, k) -> struct(p, greatest(if(k = 0, 0, get(__at, k - 1) + 1), p - {reach - 1}) AS low)),
+            x -> struct(x.low, x.p - x.low AS anchor, slice(__words, x.low + 1, x.p + {reach + 1} - x.low) AS words))"""
+    )
+    near = anchored.select(*row, F.explode(around).alias("__x")).select(*row, "__x.low", "__x.anchor", "__x.words")
+    near = computed(near, "__grams", _grams("words"), *row, "low", "anchor")
+    near = near.select("*", F.explode(F.array(*literal)).alias("__t"))
+    hits = F.expr(
+        """filter(sequence(0, size(__grams) - 1), i -> i > anchor - __t.most AND i < anchor + __t.most
+            AND array_contains(__t.bigrams, get(__grams, i)))"""
+    )
+    kept = (*row, "low", "anchor", "__grams", "__t")
+    near = computed(near, "__hits", hits, *kept).where(
+        """size(array_distinct(transform(__hits, i -> get(__grams, i)))) >= __t.need
+            AND exists(__hits, i -> i <= anchor) AND exists(__hits, i -> i >= anchor)"""
+    )
+    # Each bigram by its first place, so that numbers are compared from here on.
+    near = computed(near, "__first", F.expr("transform(__grams, x -> array_position(__grams, x))"), *kept, "__hits")
+    near = near.withColumn("__known", F.expr("array_distinct(transform(__hits, i -> get(__first, i)))"))
+    best = F.expr(
+        """array_max(flatten(transform(filter(__hits, i -> i <= anchor), s -> transform(
+            filter(__hits, i -> i >= anchor AND i - s < __t.most), e -> struct(
+                2.0D * size(array_intersect(slice(__first, s + 1, e - s + 1), __known))
+                    / (size(array_distinct(slice(__first, s + 1, e - s + 1))) + size(__t.bigrams)) AS dice,
+                s - e AS shorter, s AS first, e AS last)))))"""
+    )
+    return (
+        computed(near, "__best", best, *row, "low", "__grams", "__t")
+        .where(F.col("__best.dice") >= threshold)
+        .select(
+            *row,
+            F.col("__t.name").alias("license"),
+            F.expr("array_distinct(slice(__grams, __best.first + 1, 1 - __best.shorter))").alias("__bigrams"),
+            F.col("__best.dice").alias("__dice"),
+            (F.col("low") + F.col("__best.first")).alias("__start"),
+            (F.col("low") + F.col("__best.last")).alias("__end"),
+        )
+    )
+
+
 def scan_licenses(
     docs: DataFrame,
     threshold: float = 0.8,
@@ -81,8 +178,11 @@ def scan_licenses(
 ) -> DataFrame:
     """``id_col``, ``license``, ``dice`` (best), ``n_matches`` (distinct passages that reach the threshold).
 
-    A passage is a line, a sentence or a paragraph. Words are lower-cased runs of letters and digits, the
-    coefficient is that of sets of bigrams. One row per document id and licence.
+    A passage is a line, a sentence or a paragraph, or a run of consecutive words that none of these holds which
+    reach the threshold themselves: line breaks and signs between its words do not count, it is at most
+    (2 - t) / t times as long as the template, and of runs of one licence that overlap the best stands for all.
+    Words are lower-cased runs of letters and digits, the coefficient is that of sets of bigrams. One row per
+    document id and licence.
 
     Defined cases: a null or empty text, and a passage of fewer than two words, matches nothing; a passage may
     match several licences; rows of equal id count as one document (the passages of each row are counted); a
@@ -96,22 +196,47 @@ def scan_licenses(
     )
     any_bigram = F.array(*map(F.lit, dict.fromkeys(x for _, b in known for x in b)))
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    units = texts.select("__id", F.explode(_units("__text")).alias("__unit"))
+    texts = texts.withColumn("__hash", F.xxhash64("__text"))
+    texts = _anchored(texts, threshold, templates)
+    units = texts.select("__id", "__hash", F.explode(_units("__text")).alias("__unit"))
     # Distinct bigrams are at most one fewer than words; repeats within a passage can only lower them.
-    split = computed(units, "__words", folded_words("__unit"), "__id").where(F.size("__words") > least)
+    split = computed(units, "__words", folded_words("__unit"), "__id", "__hash").where(F.size("__words") > least)
     passages = (
-        computed(split, "__bigrams", shingle_texts("__words", 2), "__id")
+        computed(split, "__bigrams", shingle_texts("__words", 2), "__id", "__hash")
         .where(F.size("__bigrams").between(least, most) & F.arrays_overlap("__bigrams", any_bigram))
-        .select("__id", "__bigrams", F.explode(literal).alias("__t"))
+        .select("__id", "__hash", "__bigrams", F.explode(literal).alias("__t"))
     )
     a, b = F.size("__bigrams"), F.size("__t.bigrams")
     in_bounds = (b >= a * threshold / (2 - threshold)) & (b <= a * (2 - threshold) / threshold)
     dice = 2.0 * F.size(F.array_intersect("__bigrams", "__t.bigrams")) / (a + b)
-    return (
+    whole = (
         passages.where(in_bounds)
-        .select("__id", F.col("__t.name").alias("license"), "__bigrams", dice.alias("__dice"))
+        .select("__id", "__hash", F.col("__t.name").alias("license"), "__bigrams", dice.alias("__dice"))
         .where(F.col("__dice") >= threshold)
+        .select("*", F.lit(None).cast("int").alias("__start"), F.lit(None).cast("int").alias("__end"))
+    )
+    rows = whole.unionByName(_runs(texts, threshold, templates)).withColumn("__bigrams", F.array_sort("__bigrams"))
+    # What was found in one text: runs that overlap become the best of them, those inside a passage are left out.
+    found = rows.groupBy("__id", "__hash", "license").agg(
+        F.expr("collect_set(struct(__bigrams, __dice)) FILTER (WHERE __start IS NULL)").alias("__whole"),
+        F.expr("collect_set(struct(__start, __end, __dice, __bigrams)) FILTER (WHERE __start IS NOT NULL)").alias("__runs"),
+    )
+    apart = F.expr(
+        """aggregate(array_sort(__runs), slice(__runs, 1, 0), (some, r) -> CASE
+            WHEN size(some) = 0 OR get(some, size(some) - 1).__end < r.__start THEN concat(some, array(r))
+            WHEN struct(get(some, size(some) - 1).__dice, size(get(some, size(some) - 1).__bigrams))
+                < struct(r.__dice, size(r.__bigrams)) THEN concat(slice(some, 1, size(some) - 1), array(r))
+            ELSE some END)"""
+    )
+    found = computed(found, "__apart", apart, "__id", "license", "__whole")
+    passages = F.expr(
+        """concat(__whole, transform(
+            filter(__apart, r -> NOT exists(__whole, u -> size(array_except(r.__bigrams, u.__bigrams)) = 0)),
+            r -> struct(r.__bigrams, r.__dice)))"""
+    )
+    return (
+        found.select("__id", "license", F.explode(passages).alias("__p"))
         .groupBy("__id", "license")
-        .agg(F.max("__dice").alias("dice"), F.count_distinct("__bigrams").alias("n_matches"))
+        .agg(F.max("__p.__dice").alias("dice"), F.count_distinct("__p.__bigrams").alias("n_matches"))
         .select(F.col("__id").alias(id_col), "license", "dice", "n_matches")
     )
