@@ -2,20 +2,21 @@
 
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame; :func:`run` writes it as Parquet into the shared
 scratch folder and rereads it as the next stage's ``docs``, so a lost executor costs no earlier stage. All but
-the last give the columns of ``documents``. Stages work on whole texts of all rows that are left.
+the last give the columns of ``documents``. Stages work on whole texts of all rows that are left, and drop rows, not
+ids: where ``doc_id`` is null or repeated, each row stands for itself (:func:`row_key`).
 
 * language ID drops documents that the calibrated models reject (no text, no letter, none of the languages);
-* near-dedup keeps the document of least id of each group linked by 80 percent of 5-word shingles;
+* near-dedup keeps the row of least id (null last) of each group linked by 80 percent of 5-word shingles;
 * substring dedup cuts repeats of at least 50 words from all documents but the first, with the white space
   around them left as it is, and drops documents of which nothing is left;
-* decontamination drops documents that hold 80 percent of a benchmark item's 5-word shingles;
+* decontamination drops rows that hold 80 percent of a benchmark item's 5-word shingles;
 * packing gives the pieces of sequences of 4096 ids.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.decontaminate import decontaminate
@@ -34,12 +35,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return identify(docs, model, keep=COLUMNS).where("NOT rejected").select(*COLUMNS)
 
 
+def row_key() -> Column:
+    """A stable key of a row, by its id and text: only rows that agree in both have the same."""
+    return F.xxhash64("doc_id", "text")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated rows of one id are copies, too; one of them stays."""
-    found = near_duplicates(docs, shingle_words=5, percent=80)
-    kept = found.where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    left = docs.join(kept.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
-    return left.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """Rows of equal id and text are copies; one of them stays. Rows of equal id and other texts are not linked."""
+    rows = docs.withColumn("__row", row_key())
+    found = near_duplicates(rows, shingle_words=5, percent=80, id_col="__row").select("__row", "component_id")
+    # The null id counts as larger than all others; of equal ids the least key stays.
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    kept = (
+        rows.select("__row", "doc_id")
+        .join(found.distinct().hint("shuffle_hash"), "__row")
+        .groupBy("component_id")
+        .agg(F.min(first).alias("__first"))
+        .select(F.col("__first.__row").alias("__row"))
+    )
+    left = rows.join(kept.hint("shuffle_hash"), "__row", "left_semi")
+    return left.dropDuplicates(["__row"]).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +66,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+    rows = docs.withColumn("__row", row_key())
+    return decontaminate(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="__row").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,20 @@ def test_run(spark, tables):
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert total == sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in texts.values())
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(texts)
+
+
+def test_rows_of_null_and_repeated_ids_stand_for_themselves(spark, tmp_path):
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join(_word(rng, ["the", "ing", "er", "th", "sh", "wh"]) for _ in range(60)) for _ in range(5))
+    item = " ".join(f"item{k}" for k in range(20))
+    # Rows of one id copy documents 7 and 8, which are not alike; others of that id are clean.
+    rows = [(7, a), (8, b), (9, a), (9, b), (9, c), (None, a), (None, b), (None, d), (None, d), (12, e), (12, e), (5, c)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(4)
+    left = STAGES["near_dedup"](spark, df, str(tmp_path))
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(7, a), (8, b), (0, d), (12, e), (5, c)])
+
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, a), (None, f"{b} {item}"), (3, c), (3, f"{item} {d}"), (4, item), (5, e)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(4)
+    left = STAGES["benchmark_decontamination"](spark, df, str(tmp_path))
+    assert {(r.doc_id, r.text) for r in left.collect()} == {(None, a), (3, c), (5, e)}
