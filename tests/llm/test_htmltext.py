@@ -99,3 +99,33 @@ def test_edges(spark, model):
     nothing = train_pages(pages.where("false"))
     assert extract_text(pages.where("false"), nothing).count() == 0
     assert isinstance(parse(""), Node) and htmltext.SEED_PAGES
+
+
+FIRST, LAST = "The first paragraph tells at some length what happened.", "The last paragraph tells at length how it ended."
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "object", "select", "button", "noscript", "template"])
+def test_unclosed_elements_swallow_nothing(model, tag):
+    page = f"<nav><a>Home</a></nav><article><h1>A heading</h1><p>{FIRST}</p><{tag}><p>{LAST}</p></article>"
+    assert main_text(page, model).split("\n\n") == ["A heading", FIRST, LAST]
+    later = page.replace("</article>", f"<{tag}>word</{tag}><p>{FIRST}</p></article>")
+    assert {FIRST, LAST} <= set(main_text(later, model).split("\n\n"))
+    assert main_text(later, model).count(FIRST) == 2
+
+
+def test_formulas_objects_and_preformatted_text_stay(model):
+    page = (
+        f"<article><h1>A heading</h1><p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds in all cases.</p><p>{FIRST}</p>"
+        "<xmp>if a < b: print('<p>') &amp; go on.</xmp><object data=x><p>This text stands for the object.</p></object>"
+        f"<p>An <svg viewBox=x><path d=y /></svg> icon parts no text.</p><p>{LAST}</p><button>Share it</button>"
+        "<select><option>one<option>two</select></article>"
+    )
+    assert main_text(page, model).split("\n\n") == [
+        "A heading",
+        "Here x=1 holds in all cases.",
+        FIRST,
+        "if a < b: print('<p>') &amp; go on.",
+        "This text stands for the object.",
+        "An icon parts no text.",
+        LAST,
+    ]

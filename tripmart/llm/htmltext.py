@@ -8,7 +8,8 @@ is over one half make up the text.
 
 The potentials are counted from labelled pages: a few are part of this module and show every kind of page part
 once; the others are a bounded sample of pages that mark their article themselves. Parsing is a single scan with
-one regular expression; attribute values and raw text such as scripts are skipped by it.
+one regular expression; attribute values and raw text such as scripts are skipped by it. Formulas, the text of
+objects and preformatted text are text like any other.
 """
 
 from __future__ import annotations
@@ -26,11 +27,18 @@ from pyspark.sql import functions as F
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe svg math object textarea select button title xmp".split())
+#: Elements whose text runs to their closing tag, or to the end of the page, whatever stands in it.
+RAW = frozenset("script style iframe textarea title noembed noframes xmp".split())
+#: Elements that are seldom content: nodes of their own where they are closed, else only their tag is passed over.
+ASIDES = frozenset("svg select button template noscript".split())
+MATH = frozenset(
+    "math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mtable mtr mtd mstyle "
+    "mspace mpadded mphantom menclose merror mmultiscripts mprescripts semantics annotation annotation-xml".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr img".split()
-)
+    "span strike strong sub sup time tt u var wbr img object".split()
+) | MATH
 #: Elements that end an open paragraph when they begin.
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -61,7 +69,7 @@ KEYWORDS = {
 }
 _KEYWORD = {word: kind for kind, every in KEYWORDS.items() for word in every.split()}
 _AGAINST = frozenset(KEYWORDS) - {"main"}
-_OTHER_PARTS = frozenset({"nav", "aside", "footer", "form"})
+_OTHER_PARTS = frozenset({"nav", "aside", "footer", "form"}) | ASIDES
 #: Elements that only hold others; one with a single element in it and no words of its own is left out.
 _WRAPPERS = frozenset("div section center span tbody thead tfoot html body".split())
 
@@ -169,9 +177,25 @@ def parse(page: str) -> Node:
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             if not found[3].rstrip().endswith("/"):
+                if tag == "xmp":
+                    flush()
+                    stack.append(Node("pre", _kinds(found[3])))
+                    say(html.escape(page[at : stop.start() if stop else end]))
+                    close(len(stack) - 1)
                 at = stop.end() if stop else end
             pieces.append(" ")
             continue
+        if tag in ASIDES:
+            # Closed if the next tag of this name is a closing one.
+            stop = re.compile(rf"<(/?){tag}\b[^>]*>", re.I).search(page, at)
+            if not (stop and stop[1]) or found[3].rstrip().endswith("/"):
+                pieces.append(" ")
+                continue
+            # Without words in it, it does not part the text around it.
+            if not _TOKEN.sub("", page[at : stop.start()]).strip():
+                at = stop.end()
+                pieces.append(" ")
+                continue
         if tag == "br":
             pieces.append(" ")
             continue
@@ -224,7 +248,7 @@ def features(node: Node) -> tuple[str, ...]:
 
 _KNOWN_TAGS = frozenset(
     "#root html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th blockquote pre figure "
-    "figcaption nav header footer aside form a span".split()
+    "figcaption nav header footer aside form a span svg select button template noscript".split()
 )
 
 # Labelled pages. The mark data-c opens a part that is content.
@@ -260,6 +284,10 @@ SEED_PAGES = (
     "</p></li></ol></section><div class=popup><p>Subscribe now and never miss a thing.</p></div><div class=banner><p>Sale "
     "ends soon.</p></div><footer><p>All text is ours.</p><nav><a>Up</a></nav></footer></body>",
     "<body><article data-c><h1>Short</h1><p>Yes.</p><p>No.</p><p>Perhaps one day.</p></article></body>",
+    "<body><button>Menu</button><svg><text>Logo</text></svg><noscript>Please turn on scripts to see this page.</noscript>"
+    "<template><p>Name of a thing and what it costs.</p></template><select><option>English</option><option>German"
+    "</option></select><article data-c><h1>A page with tools</h1><p>What it tells is in this paragraph alone.</p></article>"
+    "<button>Up</button></body>",
 )
 
 
@@ -430,7 +458,8 @@ def extract_text(
     """The columns ``keep`` and ``text``: blocks of content in page order, joined by an empty line.
 
     Defined cases: a null, empty or text-free page has an empty text; text outside any element is a block;
-    unclosed elements end where HTML ends them or with the page; repeated rows get equal results; an empty
+    unclosed elements end where HTML ends them or with the page (raw text such as scripts swallows the rest of it);
+    of an svg, select, button, template or noscript that is not closed only the tag is left out; repeated rows get equal results; an empty
     table gives no rows.
     """
     names = [f"__p{k}" for k in range(len(keep))]
