@@ -1,10 +1,10 @@
-"""Benchmark items inside long documents, by MinHash containment search over items partitioned by size.
+"""Benchmark items inside long documents, by MinHash containment search.
 
 An item of n distinct shingles is contained when at least ``need`` = ceil(threshold * n) of them occur in the
 document. Under one random order of all shingles (their hash), the item's signature is its n - need + 1 minwise
 shingles: a document that contains the item misses fewer than that many, so it has at least one of them.
-Signature lengths, and the ceiling on the hashes of signatures, depend on the item's size class (powers of two).
-A document is looked up with those of its shingles that lie below a ceiling, so its own size neither dilutes the
+Signature lengths depend on the item's size; sizes are not partitioned, one ceiling holds for all signatures.
+A document is looked up with those of its shingles that lie below the ceiling, so its own size neither dilutes the
 search nor decides on a loss: every pair at the threshold becomes a candidate. Candidates are then verified by
 counting the item's shingles, as text, in the whole document.
 
@@ -88,20 +88,19 @@ def contained_items(
     )
     keyed = prepared.select(
         "__item",
-        F.floor(F.log2("__size")).cast("int").alias("__class"),
         F.slice(
             F.array_sort(F.array_distinct(_shingle_hashes("__words", n))),
             F.lit(1),
             (F.col("__size") - F.col("__need") + 1).cast("int"),
         ).alias("__signature"),
     )
-    # One row per size class: how far up the order its signatures reach.
-    ceilings = keyed.groupBy("__class").agg(F.max(F.element_at("__signature", -1)).alias("__top")).collect()
+    # How far up the order signatures reach; none without items.
+    top = keyed.agg(F.max(F.element_at("__signature", -1))).first()[0]
     signatures = keyed.select("__item", F.explode("__signature").alias("__key"))
     n_keys = signatures.count()
     if n_keys <= BROADCAST_ROWS:
         signatures = F.broadcast(signatures)
-    top = max([r["__top"] for r in ceilings], default=-(1 << 63))
+    top = -(1 << 63) if top is None else top
 
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("__id"),
