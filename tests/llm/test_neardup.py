@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tripmart.llm import neardup
@@ -127,3 +128,13 @@ def test_components_of_paths_stars_and_loops(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()}
     nodes = {x for e in edges if e[0] != e[1] for x in e}
     assert got == {x: c for x, c in components(nodes, [e for e in edges if e[0] != e[1]]).items()}
+
+
+@pytest.mark.parametrize("levels", [3, 6, 7])
+def test_recall_when_all_trees_read_the_same_coordinates(levels):
+    trees = neardup.trees_needed(levels, 0.8, 0.9999)
+    rng = np.random.default_rng(3)
+    agree = rng.binomial(neardup.COORDINATES, 0.8, 400_000)
+    apart = np.array([(1 - neardup.survival(levels, k / neardup.COORDINATES)) ** trees for k in range(neardup.COORDINATES + 1)])
+    assert apart[agree].mean() < 1e-4
+    assert neardup.missed(levels, trees, 0.8, 0.9999) <= 1 - 0.9999 < neardup.missed(levels, trees - 1, 0.8, 0.9999)

@@ -151,6 +151,50 @@ def survival(levels: int, similarity: float) -> float:
     return alive
 
 
+def _binomial(n: int, p: float) -> np.ndarray:
+    """Probabilities of 0 to n."""
+    out = np.zeros(n + 1)
+    out[0] = 1.0
+    for _ in range(n):
+        out[1:] = out[1:] * (1 - p) + out[:-1] * p
+        out[0] *= 1 - p
+    return out
+
+
+def _similar(threshold: float, recall: float) -> int:
+    """Least number of equal coordinates asked of a pair. Pairs at the threshold have fewer in some 30,000 cases
+    once, and in no more than half of the cases that the recall leaves.
+    """
+    p = threshold + (1 - threshold) / 4
+    least = math.floor(COORDINATES * p - 4 * math.sqrt(COORDINATES * p * (1 - p)))
+    chances = _binomial(COORDINATES, p)
+    while chances[:least].sum() > (1 - recall) / 2:
+        least -= 1
+    return least
+
+
+def missed(levels: int, trees: int, threshold: float, recall: float) -> float:
+    """Probability that a pair just at the threshold shares no node of any tree or fails the filter of sketches.
+
+    All trees and the sketch read the same coordinates, so it is averaged over the number of those that agree.
+    """
+    least = _similar(threshold, recall)
+    total = 0.0
+    for k, chance in enumerate(_binomial(COORDINATES, threshold)):
+        apart = (1 - survival(levels, k / COORDINATES)) ** trees
+        other = _binomial(COORDINATES - k, 0.25)[: max(least - k, 0)].sum()
+        total += chance * (1 - (1 - apart) * (1 - other))
+    return float(total)
+
+
+def trees_needed(levels: int, threshold: float, recall: float) -> int:
+    """Least number of trees that reach the recall."""
+    trees = 1
+    while missed(levels, trees, threshold, recall) > 1 - recall:
+        trees += 1
+    return trees
+
+
 _NODES = "__path long, __id long, __n int, __sketch binary"
 
 
@@ -187,15 +231,9 @@ def _nodes(part: pa.RecordBatch, at: np.ndarray, path: np.ndarray) -> pa.RecordB
     )
 
 
-def _similar(threshold: float):
-    """Least number of equal coordinates that a pair at the threshold has but once in some 30,000 cases."""
-    p = threshold + (1 - threshold) / 4
-    return math.floor(COORDINATES * p - 4 * math.sqrt(COORDINATES * p * (1 - p)))
-
-
-def _compare(threshold: float):
+def _compare(threshold: float, recall: float):
     """Rows of ``_NODES``, sorted by path, with a side (0: compared with all of the node, 1 and 2: across)."""
-    least_equal = _similar(threshold)
+    least_equal = _similar(threshold, recall)
 
     def edges(table: pa.Table) -> pa.RecordBatch:
         path = table.column("__path").to_numpy()
@@ -247,7 +285,7 @@ def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, recal
     n = classes.count()
     first = max(1, round(math.log(max(4 * n / LEAF, 1)) / math.log(1 / _CHANCE)))
     most_levels = first + _MORE_ROUNDS * _LEVELS_A_ROUND
-    trees = math.ceil(math.log(1 - recall) / math.log(1 - survival(most_levels, threshold)))
+    trees = trees_needed(most_levels, threshold, recall)
     found = []
     columns = ["__id", "__n", "__least", "__sketch"]
     frontier = classes.select(*columns).mapInArrow(_enter(trees, first), _NODES)
@@ -258,23 +296,23 @@ def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, recal
         large.write.parquet(f"{base}/large{k}")
         large = spark.read.parquet(f"{base}/large{k}")
         leaves = frontier.join(large, "__path", "left_anti").withColumn("__side", F.lit(0))
-        found.append(_search(leaves, threshold, f"{base}/edges{k}"))
+        found.append(_search(leaves, threshold, recall, f"{base}/edges{k}"))
         if not large.take(1):
             break
         rest = frontier.join(large, "__path")
         if k == _MORE_ROUNDS:
             pairs = block_pairs(rest, "__path", "__id", "__count", LEAF).withColumn("__path", F.col("__pair"))
-            found.append(_search(pairs, threshold, f"{base}/edges-blocks"))
+            found.append(_search(pairs, threshold, recall, f"{base}/edges-blocks"))
         else:
             again = rest.select("__path", "__id").join(classes.select(*columns), "__id")
             frontier = again.select(*columns, "__path").mapInArrow(_deeper, _NODES)
     return spark.read.parquet(*found)
 
 
-def _search(rows: DataFrame, threshold: float, path: str) -> str:
+def _search(rows: DataFrame, threshold: float, recall: float, path: str) -> str:
     rows = rows.select("__path", "__id", "__n", "__sketch", "__side")
     rows = rows.repartition("__path").sortWithinPartitions("__path")
-    rows.mapInArrow(_compare(threshold), "a long, b long").write.parquet(path)
+    rows.mapInArrow(_compare(threshold, recall), "a long, b long").write.parquet(path)
     return path
 
 
