@@ -21,6 +21,8 @@ from tripmart.llm.neardup import near_duplicates
 from tripmart.llm.packing import pack
 from tripmart.llm.substring import remove_repeats
 from tripmart.llm.tokencount import count_tokens
+from tripmart.llm.tokenfiles import checksums, read_tokens, write_tokens
+from tripmart.sources.scratch import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +86,13 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents below the scratch folder, read back."""
+    path = scratch_path(spark, "tokens")
+    write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return checksums(read_tokens(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -95,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_token_files": op12_token_files,
 }
 
 _WORDS = r"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"

@@ -38,15 +38,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@lru_cache(maxsize=4)
+_LOW = 14
+
+
+@lru_cache(maxsize=8)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
-    return _powers(base, max(CHUNK_BYTES, 1 << max(n - 1, 1).bit_length()))[:n]
+def _tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers below 2**_LOW, and powers of base**(2**_LOW): two short tables make up any power below n."""
+    high = _powers(pow(base, 1 << _LOW, 1 << 64), 1 << max(n >> _LOW, 1).bit_length())
+    return _powers(base, 1 << _LOW), high
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans: a polynomial over the bytes, from one running sum, and mixed."""
+    n = len(data)
+    low, high = _tables(_BASE, n)
+    size = 1 << _LOW
+    terms = data.astype(np.uint64)
+    terms += np.uint64(1)
+    for k in range(0, n, size):
+        part = terms[k : k + size]
+        part *= low[: len(part)] * high[k >> _LOW]
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(terms, out=sums[1:])
+    low, high = _tables(_BASE_INVERSE, n)
+    hashed = (sums[end] - sums[start]) * (low[start & (size - 1)] * high[start >> _LOW])
+    return mix(hashed + (end - start).astype(np.uint64))
 
 
 class Words(NamedTuple):
@@ -102,10 +124,7 @@ def words(data: np.ndarray, bounds: np.ndarray, lower: bool = False, kinds: np.n
     start = np.flatnonzero(solid & opens)
     end = np.flatnonzero(solid & closes) + 1
     row = np.searchsorted(bounds, start, side="right") - 1
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, n), out=sums[1:])
-    hashed = (sums[end] - sums[start]) * _power_table(_BASE_INVERSE, n)[start]
-    return Words(row, start, end, mix(hashed + (end - start).astype(np.uint64)), data, bounds)
+    return Words(row, start, end, span_hashes(data, start, end), data, bounds)
 
 
 def sequences(hashes: np.ndarray, n: int) -> np.ndarray:
