@@ -15,6 +15,7 @@ from tripmart.llm.chat import render_chats
 from tripmart.llm.decontaminate import contained_items
 from tripmart.llm.embeddings import near_vectors
 from tripmart.llm.htmltext import extract_text, train_pages
+from tripmart.llm.interactions import audit_filters
 from tripmart.llm.langid import identify, train
 from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
 from tripmart.llm.neardup import near_duplicates
@@ -93,6 +94,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checksums(read_tokens(spark, path))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op12_token_files": op12_token_files,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _WORDS = r"list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
@@ -165,8 +171,54 @@ FROM scored WHERE dice >= {threshold} GROUP BY doc_id, license
 """
 
 
+_OP13 = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t),
+f AS (
+    SELECT part,
+        len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+        regexp_matches(text, '[#$%&*|]') AS d,
+        EXISTS (SELECT 1 FROM t o WHERE o.text = w.text AND o.doc_id < w.doc_id) AS e,
+        EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND l.quality = 1) AS good,
+        EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND l.toxic = 1) AS toxic
+    FROM w),
+m AS (
+    SELECT part, good, toxic, count(*) AS n,
+        CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+        || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails
+    FROM f GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+    SELECT p.x || q.x || r.x || s.x || u.x AS filter_order
+    FROM letters p, letters q, letters r, letters s, letters u
+    WHERE len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5),
+steps AS (
+    SELECT filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS before
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+marked AS (
+    SELECT part, filter_order, step, own, good, toxic, n, contains(fails, own) AS failed, fails = own AS alone,
+        length(translate(fails, before, '')) < length(fails) AS gone
+    FROM m, steps),
+counted AS (
+    SELECT part, filter_order, step, own,
+        sum(CASE WHEN NOT failed AND NOT gone THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN failed AND NOT gone THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN failed AND gone THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN failed AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+        sum(CASE WHEN failed AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+    FROM marked GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+    redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+    toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_chat_format": _OP1,
     "op2_decontaminate": _OP2,
     "op5_license_scan": _license_sql(),
+    "op13_filter_audit": _OP13,
 }
