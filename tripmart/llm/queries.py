@@ -20,6 +20,7 @@ from tripmart.llm.langid import identify, train
 from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
 from tripmart.llm.neardup import near_duplicates
 from tripmart.llm.packing import pack
+from tripmart.llm.repair import damage, repair_conversations
 from tripmart.llm.substring import remove_repeats
 from tripmart.llm.tokencount import count_tokens
 from tripmart.llm.tokenfiles import checksums, read_tokens, write_tokens
@@ -87,6 +88,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repair."""
+    damaged, present = damage(_table(spark, sf_dir, "conversations"))
+    return repair_conversations(damaged, present=present)
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents below the scratch folder, read back."""
     path = scratch_path(spark, "tokens")
@@ -109,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_token_files": op12_token_files,
     "op13_filter_audit": op13_filter_audit,
 }
