@@ -1,6 +1,7 @@
 """Substring dedup against a plain dictionary of windows."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -77,3 +78,18 @@ def test_hash_of_kept_words(spark):
     df = spark.createDataFrame([(1, " b  a ")], "doc_id long, text string")
     digest = remove_repeats(df).select(F.sha2("kept_text", 256)).first()[0]
     assert digest == hashlib.sha256(b"b a").hexdigest()
+
+
+@pytest.mark.parametrize("own", [7, None])
+def test_rows_of_one_id_with_equal_low_bits_of_their_hashes(spark, own):
+    """A row of which another text copies a part loses nothing to a row of its id that only resembles it by hash."""
+    rng = random.Random(2)
+    passage = " ".join(f"p{k}" for k in range(20))
+    rows = [(own, " ".join(f"{rng.random():.9f}" for _ in range(25))) for _ in range(800)]
+    rows += [(own, f"lead {k} {passage} tail {k}") for k in range(800)]
+    df = spark.createDataFrame([(1, passage), *rows], "doc_id long, text string")
+    low = df.where("doc_id IS DISTINCT FROM 1").select(F.pmod(F.xxhash64("text"), F.lit(65536)).alias("low"), "text")
+    both = low.groupBy("low").agg(F.count_if(F.col("text").startswith("lead")).alias("a"), F.count("*").alias("n"))
+    assert both.where("a > 0 AND n > a").count() > 0, "the rows hold such pairs"
+    for r in remove_repeats(df, 13, carry=("text",)).where("n_words > 20").collect():
+        assert r.n_removed == (20 if r.text.startswith("lead") else 0)

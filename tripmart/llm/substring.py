@@ -31,11 +31,13 @@ _ANCHOR_BYTES = 3
 #: Stands for a null id, which counts as larger than all others.
 _NULL_ID = (1 << 63) - 1
 #: Text of a chunk that answers for its own rows first.
-_CHUNK_BYTES = 6 << 20
+_CHUNK_BYTES = 2 << 20
+#: Text whose anchors make up one bucket, or less.
+_BUCKET_BYTES = 8 << 20
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-_PACKED = "__bucket int, __count int, __payload binary, __id long, __mark int, __runs binary"
-_FOUND = "__id long, __mark int, __runs binary"
+_PACKED = "__bucket int, __count int, __payload binary, __id long, __mark long, __runs binary"
+_FOUND = "__id long, __mark long, __runs binary"
 
 
 def _planes(x: np.ndarray, width: int) -> bytes:
@@ -76,7 +78,7 @@ def _batch(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays(arrays, [n for n, _ in schema])
 
 
-_FOUND_SCHEMA = [("__id", pa.int64()), ("__mark", pa.int32()), ("__runs", pa.binary())]
+_FOUND_SCHEMA = [("__id", pa.int64()), ("__mark", pa.int64()), ("__runs", pa.binary())]
 _PACKED_SCHEMA = [
     ("__bucket", pa.int32()),
     ("__count", pa.int32()),
@@ -137,7 +139,7 @@ def _seeds(min_words: int, buckets: int):
             payload = b"".join(
                 (
                     _planes(np.diff(id_, prepend=0).view(np.uint64), 8),
-                    _planes(marks[row[f]], 2),
+                    _planes(marks[row[f]].view(np.uint64), 8),
                     _planes(start[f], 4),
                     _planes(size[a:b], 2),
                     _planes(anchor[f], _ANCHOR_BYTES),
@@ -149,7 +151,7 @@ def _seeds(min_words: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            marks = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            marks = batch.column(1).to_numpy(zero_copy_only=False)
             for at, to, data, bounds in text_chunks(batch.column(2), _CHUNK_BYTES):
                 yield _batch(list(chunk(ids[at:to], marks[at:to], data, bounds)), _PACKED_SCHEMA)
 
@@ -159,13 +161,14 @@ def _seeds(min_words: int, buckets: int):
 def _extend(table: pa.Table) -> pa.Table:
     """Windows of one bucket that an earlier document has as well, as runs per document."""
     out, parts = [], []
+    n_before = 0
     for bucket, count, payload, id_, mark, runs in zip(*(c.to_pylist() for c in table.columns), strict=True):
         if payload is None:
             out.append((id_, mark, runs))
             continue
         at = 0
         deltas, at = _from_planes(payload, at, count, 8)
-        marks, at = _from_planes(payload, at, count, 2)
+        marks, at = _from_planes(payload, at, count, 8)
         start, at = _from_planes(payload, at, count, 4)
         size, at = _from_planes(payload, at, count, 2)
         anchor, at = _from_planes(payload, at, count, _ANCHOR_BYTES)
@@ -174,16 +177,12 @@ def _extend(table: pa.Table) -> pa.Table:
         ids = np.cumsum(deltas.view(np.int64))
         within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         key = prints | (np.repeat(anchor, size) << np.uint64(8 * _PRINT_BYTES))
-        parts.append(
-            (
-                key,
-                np.repeat(ids, size),
-                np.repeat(marks.astype(np.int32), size),
-                (np.repeat(start.astype(np.int64), size) + within).astype(np.int32),
-            )
-        )
+        # Of a window only its occurrence and its place there; ids and marks are those of the occurrence.
+        at = np.repeat(np.arange(n_before, n_before + count, dtype=np.int32), size)
+        n_before += count
+        parts.append((key, at, within.astype(np.int32), ids, marks.view(np.int64), start.astype(np.int64)))
     if parts:
-        key, ids, marks, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key, at, within, ids, marks, start = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
         order = np.argsort(key, kind="stable")
         key = key[order]
@@ -191,9 +190,11 @@ def _extend(table: pa.Table) -> pa.Table:
         opens[0] = True
         opens[1:] = key[1:] != key[:-1]
         groups = np.flatnonzero(opens)
-        least = np.minimum.reduceat(ids[order], groups)[np.cumsum(opens) - 1]
-        later = order[ids[order] > least]
-        out.extend(_runs(ids[later], marks[later], start[later].astype(np.int64)))
+        own = ids[at[order]]
+        least = np.minimum.reduceat(own, groups)[np.cumsum(opens) - 1]
+        later = order[own > least]
+        within, at = within[later], at[later]
+        out.extend(_runs(ids[at], marks[at], start[at] + within))
     return pa.Table.from_batches([_batch(out, _FOUND_SCHEMA)])
 
 
@@ -259,11 +260,11 @@ def _cut(min_words: int, separator: bytes | None, passed: int):
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
-    """Id with the null replaced, and 16 bits of the text, which keep rows of the same id apart."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    """Id with the null replaced, and a hash of the text, which keeps rows of the same id apart."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return [
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("__id"),
-        F.pmod(F.xxhash64(text), F.lit(65536)).cast("int").alias("__mark"),
+        F.xxhash64(text).alias("__mark"),
     ]
 
 
@@ -272,10 +273,13 @@ def repeated_windows(
 ) -> DataFrame:
     """``__id``, ``__mark``, ``__runs`` (list of binary): windows of each document that one of smaller id has.
 
-    ``buckets``: anchors are dealt by hash to so many groups; by default four for each shuffle partition.
+    ``buckets``: anchors are dealt by hash to so many groups, each of which one worker decodes; by default four for
+    each shuffle partition, and more where the texts are so long that a bucket would stand for over 8 MB of them.
     """
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // _BUCKET_BYTES + 1)
     texts = docs.select(*_keys(id_col, text_col), F.col(text_col).cast("string").alias("__text"))
     packed = texts.mapInArrow(_seeds(min_words, buckets), _PACKED)
     found = packed.groupBy("__bucket").applyInArrow(_extend, _FOUND)
