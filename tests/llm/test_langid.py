@@ -86,3 +86,27 @@ def test_edges(spark):
     nothing = train(labelled.where("false"))
     assert {r.lang_pred for r in identify(df, nothing).collect()} == {"und"}
     assert identify(df.where("false"), nothing).count() == 0
+
+
+def test_no_language_is_lost(spark):
+    """One whose texts are all longer than the bound, and one of a single row."""
+    rng = np.random.default_rng(4)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(n))
+
+    rows = [(k, text("abcdef", 8000), "long") for k in range(30)] + [(100 + k, text("ghijkl", 40), "short") for k in range(60)]
+    rows += [(200, text("mnopqr", 400), "rare"), (201, "12 34", "none"), (202, None, "null")]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_chars=20_000)
+    assert model.languages == ["long", "rare", "short"]
+    new = [(1, text("abcdef", 60), "long"), (2, text("ghijkl", 60), "short"), (3, text("mnopqr", 60), "rare")]
+    got = identify(spark.createDataFrame(new, "doc_id long, text string, lang string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "long", 2: "short", 3: "rare"}
+
+
+def test_a_small_sample_is_not_calibrated(spark):
+    rows = [(k, "some words of it", "en") for k in range(10)]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.usual is None and model.sharpness == 4.0
+    got = identify(spark.createDataFrame([(1, "zzz qqq xxx"), (2, "12")], "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.rejected for r in got} == {1: False, 2: True}

@@ -27,6 +27,8 @@ UNKNOWN = "und"
 ORDER = 5
 #: Share of the sample that calibrates instead of counting.
 _CALIBRATION = 0.2
+#: Calibrating rows below which nothing is calibrated.
+LEAST_CALIBRATION = 20
 #: Characters that a language could have; the last share of probability is spread over so many.
 _ALPHABET = 2000
 _START, _END = 1, 2
@@ -235,23 +237,31 @@ def train(
 ) -> Model:
     """Models from a bounded sample of the rows that have a text and a language.
 
-    The bound: of each language about ``rows_per_language`` rows, chosen by a hash of id and text, of at most
-    ``most_chars`` characters. The words of the sample are counted by Spark; the counts, which the bound holds
-    for as well, come to the driver. A fifth of the sample calibrates. No labelled rows: a model of no language.
+    The bound: of each language about ``rows_per_language`` rows, chosen by a hash of id and text; of a text of more
+    than ``most_chars`` characters so many in a row, which begin at a place chosen by that hash. The words of the
+    sample are counted by Spark; the counts, which the bound holds for as well, come to the driver. A fifth of the
+    sample calibrates, but the row of least hash of each language is always counted, so every language that has a
+    text with a letter gets a model; other texts are left out. Fewer than ``LEAST_CALIBRATION`` calibrating rows in all: scores keep their default
+    sharpness and only texts without a letter are rejected. No labelled rows: a model of no language.
     """
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(
         F.col(lang_col).cast("string").alias("__lang"),
         F.col(text_col).cast("string").alias("__text"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("__hash"),
-    ).where(F.length("__text") <= most_chars)
-    totals = {r["__lang"]: r["n"] for r in rows.groupBy("__lang").agg(F.count("*").alias("n")).collect()}
-    if not totals:
-        return fit_words({})
+    ).where(F.col("__text").rlike(r"\p{L}"))
     unit = F.pmod(F.col("__hash"), F.lit(1_000_000)) / 1_000_000
-    share = F.create_map(*[x for lang, n in totals.items() for x in (F.lit(lang), F.lit(rows_per_language / n))])
-    sample = rows.where(unit < F.element_at(share, F.col("__lang")))
-    calibrates = F.pmod(F.xxhash64("__hash"), F.lit(1000)) < 1000 * _CALIBRATION
+    found = rows.groupBy("__lang").agg(F.count("*").alias("n"), F.min(unit).alias("least")).collect()
+    if not found:
+        return fit_words({})
+    share = {r["__lang"]: max(rows_per_language / r["n"], 0.0) for r in found}
+    share = F.create_map(*[x for lang, part in share.items() for x in (F.lit(lang), F.lit(part))])
+    least = F.create_map(*[x for r in found for x in (F.lit(r["__lang"]), F.lit(r["least"]))])
+    is_least = unit == F.element_at(least, F.col("__lang"))
+    start = F.pmod(F.col("__hash"), F.greatest(F.length("__text") - most_chars, F.lit(0)) + 1) + 1
+    sample = rows.where(is_least | (unit < F.element_at(share, F.col("__lang"))))
+    sample = sample.withColumn("__text", F.substring("__text", start.cast("int"), F.lit(most_chars)))
+    calibrates = ~is_least & (F.pmod(F.xxhash64("__hash"), F.lit(1000)) < 1000 * _CALIBRATION)
     counted = sample.where(~calibrates).select("__lang", "__text")
     counted = counted.mapInArrow(_count_words, "__lang string, __word string, __count long")
     counted = counted.groupBy("__lang", "__word").agg(F.sum("__count").alias("__count")).orderBy("__lang", "__word")
@@ -268,7 +278,7 @@ def calibrate(model: Model, rows: list) -> Model:
     """Set what turns cross-entropies into scores and rejections from held-out rows (language, size, entropies)."""
     place = {x: k for k, x in enumerate(model.languages)}
     rows = [(place[r[0]], r[1], r[2]) for r in rows if r[0] in place and r[1] > 0]
-    if len(rows) < 20:
+    if len(rows) < LEAST_CALIBRATION:
         return model
     truth, size, entropy = (np.array(x) for x in zip(*rows, strict=True))
     chances = {}
