@@ -16,15 +16,21 @@ from tripmart.sources.schemas import STATION_EVENT, STATION_INFO, STATION_STATUS
 from tripmart.streaming import (
     build_events,
     dedupe_stream,
+    dedupe_stream_indexed,
     detect_drops_stream,
     inject_faults,
     latest_status_stream,
     read_deduped,
+    read_deduped_indexed,
     read_drops,
+    read_latest,
+    read_repaired,
+    repair_drops_stream,
     split_valid_invalid,
     validate_events,
     write_split_stream,
 )
+from tripmart.sources.versions import last_commit
 from tripmart.streaming.sinks import append_batch
 from tripmart.streaming.state import current_slot
 
@@ -262,3 +268,128 @@ def test_faults(spark, seed):
         assert sum(spoiled) == (pos % 20 == 0)
         assert (r.num_bikes_available == 0) == (pos % 15 == 0 and pos % 20 != 0)  # row 60: invalid wins
     assert [tuple(r) for r in inject_faults(df, F.col("pos")).orderBy("pos").collect()] == rows
+
+
+def journal(spark, path):
+    rows = spark.read.parquet(f"{path}/journal").orderBy("batch_id").collect()
+    return [(r.messages, r.asked, r.stored, json.loads(r.days), json.loads(r.days_read)) for r in rows]
+
+
+def test_indexed_dedupe_reads_only_what_it_must(spark, tmp_path):
+    """Six batches over several days, with copies and originals of days long past, NULL keys and NULL times."""
+    rows = sample_events(300)
+    batches = [rows[:100], rows[100:200] + rows[:5], [event("new", 90_000 + k, 5) for k in range(50)]]
+    batches += [[event("hot", 180_000 + k, 1) for k in range(50)] + [event("late", -500_000, 1)]]
+    batches += [[event("late", -500_000, 1), (None, *event("x", 9, 1)[1:]), (*event("y", 1, 1)[:-1], None)]]
+    batches += [[(None, *event("x", 9, 1)[1:]), (*event("y", 1, 1)[:-1], None), event("hot", 180_000, 1)]]
+    for part in batches:
+        spark.createDataFrame(part, STATION_EVENT).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    events = read_event_stream(spark, f"{tmp_path}/in", fmt="parquet", options={"maxFilesPerTrigger": "1"})
+    keys = ["station_id", "event_timestamp"]
+    out = f"{tmp_path}/out"
+    assert finish(dedupe_stream_indexed(events, keys, out, f"{tmp_path}/cp", buckets=16)) == 5
+    got = read_deduped_indexed(spark, out, events.schema)
+    every = [r for part in batches for r in part]
+    assert spark_rows(got) == spark_rows(spark.createDataFrame(every, STATION_EVENT).distinct())
+    log = journal(spark, out)
+    assert [x[3] for x in log] == [
+        ["2024-01-01"], ["2024-01-01"], ["2024-01-02"], ["2023-12-26", "2024-01-03"],
+        ["2023-12-26", "2024-01-01", "none"], ["2024-01-01", "2024-01-03", "none"],
+    ]
+    for _, _, _, touched, read in log:
+        assert set(read) <= set(touched)
+    # The first batches of a day ask for nothing; copies are asked for in the days where they are.
+    assert [x[4] for x in log][0] == [x[4] for x in log][2] == [x[4] for x in log][3] == []
+    assert log[1][4] == ["2024-01-01"] and "2023-12-26" in log[4][4] and log[5][2] == 0
+    one = read_deduped_indexed(spark, out, events.schema, ["2023-12-26"])
+    assert [r.station_id for r in one.collect()] == ["late"] and len(one.inputFiles()) == 1
+
+
+def test_indexed_dedupe_merges_days_and_runs_again(spark, tmp_path):
+    rows = sample_events(240)
+    land(spark, rows, f"{tmp_path}/in", 8)
+    keys, out = ["station_id", "event_timestamp"], f"{tmp_path}/out"
+
+    def run():
+        return finish(
+            dedupe_stream_indexed(stream(spark, f"{tmp_path}/in"), keys, out, f"{tmp_path}/cp", buckets=4, merge_at=3)
+        )
+
+    assert run() == 7
+    at = last_commit(spark, out)
+    assert at.number == 7 and max(len(v) for v in at.parts.values()) <= 3
+    want = spark_rows(spark.createDataFrame(rows, STATION_EVENT).distinct())
+    schema = stream(spark, f"{tmp_path}/in").schema
+    assert spark_rows(read_deduped_indexed(spark, out, schema)) == want
+    # A batch that wrote everything but whose end the checkpoint does not know runs again.
+    for name in ("7", ".7.crc"):
+        (tmp_path / "cp" / "commits" / name).unlink()
+    assert run() == 7
+    assert spark_rows(read_deduped_indexed(spark, out, schema)) == want
+    with pytest.raises(Exception, match="different runs"):
+        dedupe_stream_indexed(stream(spark, f"{tmp_path}/in"), keys, out, f"{tmp_path}/other").awaitTermination()
+
+
+def test_the_last_finished_slot_is_found(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_latest(spark, f"{tmp_path}/out")
+    rows = sample_events()
+    land(spark, rows, f"{tmp_path}/in", 3)
+    finish(latest_status_stream(stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/cp"))
+    want = marts.latest_station_status(spark.createDataFrame(rows, STATION_EVENT).distinct())
+    assert spark_rows(read_latest(spark, f"{tmp_path}/out")) == spark_rows(want)
+    # A later batch that dies half-way through its slot leaves the finished one.
+    spark.createDataFrame(rows[:1], STATION_EVENT).write.mode("overwrite").parquet(f"{tmp_path}/out/{current_slot(3)}")
+    assert spark_rows(read_latest(spark, f"{tmp_path}/out")) == spark_rows(want)
+
+
+def compare(events, before):
+    return marts.compare_events(events, before=before)
+
+
+def run_repaired(spark, tmp_path, batches):
+    for part in batches:
+        spark.createDataFrame(part, STATION_EVENT).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    events = read_event_stream(spark, f"{tmp_path}/in", fmt="parquet", options={"maxFilesPerTrigger": "1"})
+    out = f"{tmp_path}/out"
+    assert finish(repair_drops_stream(events, out, f"{tmp_path}/cp", compare, marts.COMPARED)) == len(batches) - 1
+    return out, events.schema
+
+
+def test_late_rows_are_repaired_in_place(spark, tmp_path):
+    hour = 3600
+    batches = [
+        [event("s", 0, 90), event("s", 10, 80), event("t", 5, 5), event("s", 3 * hour, 70)],
+        [event("s", 5 * hour, 20), event("t", 6, 1), event("u", 7 * hour, 3)],
+        # Into an empty slice between two, into a stored slice, before all, and after the last one.
+        [event("s", hour + 1, 10), event("s", 5, 1), event("s", -50, 99), event("s", 5 * hour + 9, 1)],
+        # Copies, one of a row of this batch; a new station's rows in two slices, the later one first.
+        [event("s", 5, 1), event("s", 10, 80), event("v", 2 * hour, 60), event("v", 9, 61), event("v", 9, 61)],
+        # Two late rows of one station in neighbouring slices, and one whose next slice is far.
+        [event("s", 2 * hour, 66), event("s", 2 * hour + 30, 5), event("s", hour + 2, 70), event("t", 3 * hour, 5)],
+        [event("t", 4, 90), event("u", 8 * hour, 1)],
+    ]
+    out, schema = run_repaired(spark, tmp_path, batches)
+    got = marts.monitoring_columns(read_repaired(spark, out, schema, compare))
+    every = spark.createDataFrame([r for part in batches for r in part], STATION_EVENT)
+    want = marts.station_anomaly(clean_events(every))
+    assert spark_rows(got) == spark_rows(want)
+    assert got.filter("anomaly_status <> 'NORMAL'").count() > 2
+    # A read compares nothing; the last batch wrote only its late row's slice and the next one of that station.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+    at = last_commit(spark, out)
+    assert json.loads(at.note)["rewritten"] == ["2024-01-01T00", "2024-01-01T03"]
+    assert at.parts["changes", "2024-01-01T01"] == (4,) and at.parts["changes", "2024-01-01T08"] == (5,)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_order_of_arrival(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [event(rng.choice("aab"), 400 * i + rng.randrange(300), rng.choice([0, 10, 90])) for i in range(120)]
+    rows += rng.sample(rows, 20)
+    rng.shuffle(rows)
+    out, schema = run_repaired(spark, tmp_path, [rows[k : k + 47] for k in range(0, len(rows), 47)])
+    got = marts.monitoring_columns(read_repaired(spark, out, schema, compare))
+    want = marts.station_anomaly(clean_events(spark.createDataFrame(rows, STATION_EVENT)))
+    assert spark_rows(got) == spark_rows(want)

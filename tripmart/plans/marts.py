@@ -166,19 +166,29 @@ def latest_station_status(events: DataFrame) -> DataFrame:
     return latest_per_key(events, ["station_id"], "event_timestamp")
 
 
-def compare_events(events: DataFrame, slice_unit: str = "hour") -> DataFrame:
+#: What is compared with the predecessor at the station.
+COMPARED = ("num_bikes_available", "num_docks_available", "event_timestamp")
+
+
+def compare_events(
+    events: DataFrame, slice_unit: str = "hour", before: DataFrame | None = None, laid_out: str | None = None
+) -> DataFrame:
     """Add each event's predecessor at the station, the changes since, and the anomaly label.
 
     One ``slice_unit`` of one station is the unit of sorting. Timestamps are unique per station and
     carry milliseconds, so an hour is at most 3.6 million rows however many the station holds. Each
     unit costs one carried row; take a day for feeds that report less than a few times per hour.
+    ``before``: see :func:`tripmart.operators.with_previous`. ``laid_out`` names the column of the slice in a table
+    that is bucketed by station and slice: then no event is shuffled.
     """
     compared = with_previous(
         events,
         ["station_id"],
         ["event_timestamp"],
-        ["num_bikes_available", "num_docks_available", "event_timestamp"],
-        slice_by=F.date_trunc(slice_unit, "event_timestamp"),
+        COMPARED,
+        slice_by=F.col(laid_out) if laid_out else F.date_trunc(slice_unit, "event_timestamp"),
+        before=before,
+        laid_out=laid_out is not None,
     )
     return drop_anomaly(
         compared,
@@ -209,6 +219,6 @@ def monitoring_columns(compared: DataFrame) -> DataFrame:
     )
 
 
-def station_anomaly(events: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def station_anomaly(events: DataFrame, slice_unit: str = "hour", laid_out: str | None = None) -> DataFrame:
     """Every event next to its predecessor at the station, with abnormal bike drops marked."""
-    return monitoring_columns(compare_events(events, slice_unit))
+    return monitoring_columns(compare_events(events, slice_unit, laid_out=laid_out))

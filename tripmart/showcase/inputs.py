@@ -6,7 +6,7 @@ durations, empty coordinates, unknown rider types, negative counts, replayed mes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import read_event_stream, scratch_path
@@ -89,15 +89,15 @@ def station_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARRIVALS, DELAY_S = 6, 900
 
 
-def arriving(df: DataFrame, ts: str, identity: str) -> DataFrame:
+def arriving(df: DataFrame, ts: str, identity: str, late_s: Column | None = None) -> DataFrame:
     """``df`` as an unbounded source of several micro-batches, in order of arrival.
 
     Each row arrives up to 15 minutes after its time, by a hash of ``identity``, so copies may come in later
-    batches and rows out of order. Arrivals are cut in equal spans of time and landed span by span; the stream
+    batches and rows out of order; ``late_s`` adds seconds to that. Arrivals are cut in equal spans of time and landed span by span; the stream
     takes one landed file at a time.
     """
     spark = df.sparkSession
-    delay = F.pmod(F.xxhash64(identity), F.lit(DELAY_S))
+    delay = F.pmod(F.xxhash64(identity), F.lit(DELAY_S)) + (F.lit(0) if late_s is None else late_s)
     timed = df.withColumn("__arrival", F.unix_timestamp(F.col(ts).cast("timestamp")) + delay)
     first, last = timed.agg(F.min("__arrival"), F.max("__arrival")).first()
     path = scratch_path(spark, "arrivals")
@@ -118,3 +118,17 @@ def station_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = station_events(spark, sf_dir)
     copy = F.concat_ws("|", "event_timestamp", F.monotonically_increasing_id())
     return arriving(events.withColumn("__copy", copy), "event_timestamp", "__copy").drop("__copy")
+
+
+def late_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table with every 50th row delivered twice, and originals and copies that come weeks late."""
+    events = table(spark, sf_dir, "events")
+    copies = F.when(F.col("event_id") % 50 == 0, 2).otherwise(1)
+    delivered = events.select("*", F.posexplode(F.array_repeat(F.lit(0), copies)).alias("__copy", "__zero")).drop("__zero")
+    # One original in 97 is a week late or more; of the copies one in three is late.
+    late = F.col("event_id") % 97 == 0
+    late |= (F.col("__copy") > 0) & (F.col("event_id") % 3 == 0)
+    late_s = F.when(late, 86400 * (7 + F.col("event_id") % 14)).otherwise(0)
+    identity = F.concat_ws("|", "event_id", "__copy")
+    rows = delivered.withColumn("__id", identity).withColumn("__late", late_s)
+    return arriving(rows, "ts", "__id", F.col("__late")).select(*events.columns)

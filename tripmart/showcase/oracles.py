@@ -608,7 +608,9 @@ WHERE error_reason <> ''""",
     "stream_split_valid": _sql(("checked",), _VALID),
     "stream_split_invalid": _sql(("checked",), _INVALID),
     "stream_dedupe": _sql(("evs",), "SELECT DISTINCT * FROM evs"),
+    "stream_dedupe_indexed": "SELECT * FROM events",
     "stream_latest": _LATEST,
     "stream_drops": _sql(("monitoring",), "SELECT * FROM monitoring"),
     "stream_drops_late": _sql(("monitoring",), "SELECT * FROM monitoring"),
+    "stream_drops_repaired": _sql(("monitoring",), "SELECT * FROM monitoring"),
 }

@@ -44,17 +44,21 @@ from ..sources.tables import LAYERS
 from ..streaming import (
     build_events,
     dedupe_stream,
+    dedupe_stream_indexed,
     detect_drops_stream,
     inject_faults,
     latest_status_stream,
     read_deduped,
+    read_deduped_indexed,
     read_drops,
+    read_latest,
+    read_repaired,
+    repair_drops_stream,
     split_valid_invalid,
     validate_events,
     write_split_stream,
 )
-from ..streaming.state import current_slot
-from .inputs import event_stream, staging_trips, station_event_stream, station_events, table
+from .inputs import event_stream, late_event_stream, staging_trips, station_event_stream, station_events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -635,12 +639,21 @@ def stream_dedupe(spark, sf):
     return read_deduped(spark, f"{out}/events", events.schema)
 
 
+@query
+def stream_dedupe_indexed(spark, sf):
+    """Events of many days, with originals and copies that come weeks late; an index of the keys is asked first."""
+    out = scratch_path(spark, "dedupe-indexed")
+    events = late_event_stream(spark, sf)
+    _finish(dedupe_stream_indexed(events, ["event_id", "ts"], f"{out}/events", f"{out}/checkpoint", "ts", merge_at=3))
+    return read_deduped_indexed(spark, f"{out}/events", events.schema)
+
+
 @query
 def stream_latest(spark, sf):
     out = scratch_path(spark, "latest")
     events = _coarse(event_stream(spark, sf))
-    last = _finish(latest_status_stream(events, f"{out}/latest", f"{out}/checkpoint", "user_id", "ts"))
-    return spark.read.parquet(f"{out}/latest/{current_slot(last)}")
+    _finish(latest_status_stream(events, f"{out}/latest", f"{out}/checkpoint", "user_id", "ts"))
+    return read_latest(spark, f"{out}/latest")
 
 
 def _drops(spark: SparkSession, sf: str, lateness_s: int) -> DataFrame:
@@ -662,3 +675,18 @@ def stream_drops(spark, sf):
 def stream_drops_late(spark, sf):
     """No lateness is waited for, so many rows come late and are put in their place when read."""
     return _drops(spark, sf, lateness_s=0)
+
+
+def _compare(events: DataFrame, before: DataFrame | None) -> DataFrame:
+    return marts.compare_events(events, before=before)
+
+
+@query
+def stream_drops_repaired(spark, sf):
+    """The anomaly mart after a stream in which many rows come late; it is exact after each batch."""
+    out = scratch_path(spark, "repaired")
+    events = valid_events(station_event_stream(spark, sf)).withColumns(
+        {c: F.trim(c) for c in ("station_id", "station_name")}
+    )
+    _finish(repair_drops_stream(events, out, f"{out}/checkpoint", _compare, marts.COMPARED))
+    return marts.monitoring_columns(read_repaired(spark, out, events.schema, _compare))

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from ..operators import dedupe_first, total_order
+from ..sources.versions import Commit, commit, last_commit
 from .sinks import BATCH, start_query
 
 _DAY = "event_day"
@@ -40,11 +41,13 @@ def dedupe_stream(
         rows = dedupe_first(batch, keys, total_order(batch, [], skip=keys)).withColumn(_DAY, F.to_date(ts))
         rows = rows.persist()
         if batch_id:
-            days = rows.select(_DAY).distinct()
+            # The days of a batch are few. As literals they leave the folders of all others unread.
+            days = [r[0] for r in rows.select(_DAY).distinct().collect()]
+            touched = F.col(_DAY).isin([d for d in days if d is not None])
+            if None in days:
+                touched = touched | F.col(_DAY).isNull()
             stored = spark.read.schema(rows.withColumn(BATCH, F.lit(0)).schema).parquet(path)
-            stored = stored.where(F.col(BATCH) < batch_id).select(*keys, _DAY)
-            # The days of a batch are few; Spark prunes the folders of all others by this join.
-            stored = stored.join(days, stored[_DAY].eqNullSafe(days[_DAY]), "left_semi")
+            stored = stored.where(F.col(BATCH) < batch_id).where(touched).select(*keys)
             known = stored.select(*[F.col(k).alias(f"__{k}") for k in keys])
             same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
             new = rows.join(known, reduce(and_, same), "left_anti")
@@ -74,9 +77,9 @@ def latest_status_stream(
 
     The aggregate combines on the map side, so a micro-batch sends one row per station and task; the
     state holds one row per station. Equal timestamps are settled by the greater remaining columns, as by
-    :func:`tripmart.operators.latest_per_key`. The
-    table alternates between two folders, so a reader never meets a half-written one: read the folder
-    that :func:`current_slot` names for the last finished batch.
+    :func:`tripmart.operators.latest_per_key`. The table is one part of a versioned table
+    (:mod:`tripmart.sources.versions`) in two slots, and the number of the batch is committed when its slot is
+    whole: :func:`read_latest` finds the last finished one by itself.
     """
     rest = [c for c in events.columns if c not in (key, ts)]
     latest = events.groupBy(key).agg(F.max(F.struct(ts, *rest)).alias("__last"))
@@ -85,9 +88,18 @@ def latest_status_stream(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/{current_slot(batch_id)}")
+        commit(batch.sparkSession, path, Commit(batch_id))
 
     return start_query(table, checkpoint, process, trigger or {"availableNow": True}, "complete")
 
 
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The table of the last finished micro-batch of :func:`latest_status_stream`."""
+    number = last_commit(spark, path).number
+    if number < 0:
+        raise ValueError(f"no finished batch in {path}")
+    return spark.read.parquet(f"{path}/{current_slot(number)}")
+
+
 def current_slot(batch_id: int) -> str:
     return f"slot={batch_id % 2}"
