@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from tripmart.plans import marts
 from tripmart.plans.events import clean_events
 from tripmart.plans.ingest import ingest_messages
-from tripmart.sources import read_event_stream, read_station_feed
+from tripmart.operators import in_force
+from tripmart.sources import read_event_stream, read_station_feed, read_station_feed_stream, versions
 from tripmart.sources.schemas import STATION_EVENT, STATION_INFO, STATION_STATUS
 from tripmart.streaming import (
+    append_information,
     build_events,
     dedupe_stream,
     dedupe_stream_indexed,
     detect_drops_stream,
+    feed_events_stream,
     inject_faults,
     latest_status_stream,
     read_deduped,
@@ -25,9 +28,11 @@ from tripmart.streaming import (
     read_drops,
     read_latest,
     read_repaired,
+    read_split,
     repair_drops_stream,
     split_valid_invalid,
     validate_events,
+    write_split_log,
     write_split_stream,
 )
 from tripmart.sources.versions import last_commit
@@ -393,3 +398,97 @@ def test_any_order_of_arrival(spark, tmp_path, seed):
     got = marts.monitoring_columns(read_repaired(spark, out, schema, compare))
     want = marts.station_anomaly(clean_events(spark.createDataFrame(rows, STATION_EVENT)))
     assert spark_rows(got) == spark_rows(want)
+
+
+def days_of(spark, path, kind):
+    return [p for k, p in last_commit(spark, path).parts if k == f"{kind}_days"]
+
+
+def test_split_log_merges_batches_into_days(spark, tmp_path):
+    rows = [(*event("s", 1, 1)[:-1], None), *sample_events(300), event("s", 90_000, 1), event("", 180_000, 1)]
+    rows += [event("s", 91_000 + k, 3) for k in range(20)]
+    land(spark, rows, f"{tmp_path}/in", 7)
+    out = f"{tmp_path}/out"
+    query = write_split_log(stream(spark, f"{tmp_path}/in"), out, f"{tmp_path}/cp", compact_every=2, merge_at=2)
+    assert finish(query) == 6
+    for kind, expected in zip(("valid", "invalid"), split_valid_invalid(spark.createDataFrame(rows, STATION_EVENT))):
+        assert spark_rows(read_split(spark, out, kind)) == spark_rows(expected)
+        day = expected.where("event_timestamp >= '2024-01-02' AND event_timestamp < '2024-01-03'")
+        assert spark_rows(read_split(spark, out, kind, ["2024-01-02"])) == spark_rows(day)
+    at = last_commit(spark, out)
+    assert at.names("valid") == ["batch-000000000006"], "the last batch is pending, the others are in days"
+    assert max(len(v) for (k, _), v in at.parts.items() if k == "valid_days") <= 2
+    assert "none" in days_of(spark, out, "invalid")
+    # A day's files only; batches that were merged are not opened.
+    assert len(read_split(spark, out, "valid").inputFiles()) < 10
+
+
+def test_a_merge_that_dies_before_its_commit(spark, tmp_path, monkeypatch):
+    """Everything is written, but the commit: readers see the table of the batch before, and the next run ends it."""
+    rows = sample_events(200)
+    land(spark, rows, f"{tmp_path}/in", 5)
+    out, real = f"{tmp_path}/out", versions.commit
+
+    def run():
+        return write_split_log(stream(spark, f"{tmp_path}/in"), out, f"{tmp_path}/cp", compact_every=3)
+
+    def dying(spark_, path, new):
+        if new.number == 2:
+            raise OSError("the driver is lost")
+        real(spark_, path, new)
+
+    monkeypatch.setattr(versions, "commit", dying)
+    with pytest.raises(Exception, match="the driver is lost"):
+        run().awaitTermination()
+    assert last_commit(spark, out).number == 1 and (tmp_path / "out" / "valid_days" / "version=2").exists()
+    size = -(-len(rows) // 5)
+    want = split_valid_invalid(spark.createDataFrame(rows[: 2 * size], STATION_EVENT))[0]
+    assert spark_rows(read_split(spark, out)) == spark_rows(want)
+
+    monkeypatch.setattr(versions, "commit", real)
+    finish(run())
+    for kind, expected in zip(("valid", "invalid"), split_valid_invalid(spark.createDataFrame(rows, STATION_EVENT))):
+        assert spark_rows(read_split(spark, out, kind)) == spark_rows(expected)
+
+
+def poll_file(path, second, *records):
+    path.parent.mkdir(exist_ok=True)
+    path.write_text(json.dumps({"data": {"stations": list(records)}}))
+    os.utime(path, (1_700_000_000 + second, 1_700_000_000 + second))
+
+
+def test_feed_stream_with_versions_of_the_information(spark, tmp_path):
+    """Times of the files, whatever batch reads them; a version that comes while the stream rests counts at once."""
+    zero = dt.datetime.fromtimestamp(1_700_000_000, dt.timezone.utc).replace(tzinfo=None)
+
+    def run(per_batch):
+        polls = read_station_feed_stream(spark, f"{tmp_path}/status", STATION_STATUS, polls_per_batch=per_batch)
+        sink = lambda events, batch: append_batch(events, f"{tmp_path}/out", batch)
+        return finish(feed_events_stream(polls, f"{tmp_path}/info", f"{tmp_path}/cp", sink, invalid_every=3))
+
+    def info(name):
+        return spark.createDataFrame([("1", name, 1.0, 2.0, 9)], STATION_INFO)
+
+    record = {"num_bikes_available": 4, "num_docks_available": "2", "is_renting": 1}
+    append_information(info("old"), f"{tmp_path}/info", zero)
+    poll_file(tmp_path / "status" / "z.json", -5, {"station_id": 1, **record})
+    poll_file(tmp_path / "status" / "a.json", 0, {"station_id": "1", **record}, {"station_id": 2, **record})
+    assert run(1) == 1
+    append_information(info("new"), f"{tmp_path}/info", zero + dt.timedelta(seconds=60))
+    poll_file(tmp_path / "status" / "b.json", 59, {"station_id": 1, **record})
+    poll_file(tmp_path / "status" / "c.json", 60, *[{"station_id": 1, **record}] * 3)
+    assert run(None) == 2
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    got = sorted(((r.event_timestamp - zero).total_seconds(), r.station_id, r.station_name, r.capacity) for r in rows)
+    spoiled = [r for r in rows if r.station_id == "" or r.num_bikes_available == -1 or r.num_docks_available == -1]
+    assert len(spoiled) == 1 and (spoiled[0].event_timestamp - zero).total_seconds() == 60
+    assert [g[0] for g in got] == [-5, 0, 0, 59, 60, 60, 60]
+    assert [(g[0], g[2]) for g in got if g[0] < 60] == [(-5, None), (0, "old"), (0, None), (59, "old")]
+    assert {g[2] for g in got if g[0] == 60} == {"new"}
+
+
+def test_versions_in_force(spark):
+    times = spark.createDataFrame([("a", 0), ("b", 10), ("c", 11), ("d", 99)], "poll string, at int")
+    known = spark.createDataFrame([(5, "x"), (10, "y"), (10, "z"), (50, "w")], "since int, name string")
+    got = {r.poll: r.since for r in in_force(times, known, "at", "since").collect()}
+    assert got == {"a": None, "b": 10, "c": 10, "d": 50}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,3 +49,25 @@ def share_of_total(counted: DataFrame, count: str, share: str, few_groups: bool
 def top_k(df: DataFrame, by: str, tie_break: Sequence[str], k: int) -> DataFrame:
     """The ``k`` greatest rows; each task keeps at most ``k`` rows before they meet."""
     return df.orderBy(F.col(by).desc_nulls_last(), *tie_break).limit(k)
+
+
+def distinct_sketch(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], lg_k: int = 14) -> DataFrame:
+    """A sketch per group for each of ``columns`` (output name -> input column), from which distinct counts follow.
+
+    Sketches of groups can be merged, so distinct counts of any period come from those of its days, without the
+    rows. A sketch takes up to 2**lg_k bytes and is exact for small groups.
+    """
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(c, F.lit(lg_k)).alias(n) for n, c in columns.items()])
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Distinct counts of larger groups, estimated from the sketches of smaller ones."""
+    return sketches.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(n)).alias(n) for n in names])
+
+
+def sketch_error(lg_k: int = 14, deviations: float = 5.0) -> float:
+    """Relative error that a merged estimate stays below, at so many standard errors of 1.04 / sqrt(2**lg_k).
+
+    At five, one estimate in two million lies outside.
+    """
+    return deviations * 1.04 / math.sqrt(1 << lg_k)

@@ -4,8 +4,10 @@ that is too large to broadcast falls back to a shuffled join whose hot partition
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .pick import dedupe_first, total_order
@@ -68,20 +70,40 @@ def full_outer_on(
 def left_lookup(
     df: DataFrame,
     lookup: DataFrame,
-    key: str,
-    lookup_key: str,
+    key: str | Sequence[str],
+    lookup_key: str | Sequence[str],
     attributes: Mapping[str, str],
     last_by: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Attach ``attributes`` (output name -> lookup column); NULL where the key is unknown.
+    """Attach ``attributes`` (output name -> lookup column); NULL where the key, of one or several columns, is unknown.
 
     With ``last_by`` the lookup is reduced to one row per key first, the last in that order. ``df`` may
     be a stream.
     """
+    keys, lookup_keys = ([k] if isinstance(k, str) else list(k) for k in (key, lookup_key))
     if last_by is not None:
-        lookup = dedupe_first(lookup, [lookup_key], last_by)
-    k = "__lookup_key"
+        lookup = dedupe_first(lookup, lookup_keys, last_by)
+    own = [f"__lookup_key{i}" for i in range(len(keys))]
     slim = lookup.select(
-        F.col(lookup_key).alias(k), *[F.col(c).alias(n) for n, c in attributes.items()]
+        *[F.col(c).alias(n) for c, n in zip(lookup_keys, own, strict=True)],
+        *[F.col(c).alias(n) for n, c in attributes.items()],
     )
-    return df.join(slim, F.col(key) == F.col(k), "left").drop(k)
+    same = reduce(and_, [F.col(k) == F.col(n) for k, n in zip(keys, own, strict=True)])
+    return df.join(slim, same, "left").drop(*own)
+
+
+def in_force(times: DataFrame, versions: DataFrame, at: str, valid_from: str) -> DataFrame:
+    """``times`` with the greatest ``valid_from`` of ``versions`` up to ``at``; NULL before the first version.
+
+    An as-of match of two short lists, say the polls of a batch and the versions of a table: both are ordered in one
+    task, as one timeline. Match rows by the version that is found, not by time.
+    """
+    known = versions.select(valid_from).distinct()
+    line = times.withColumn("__at", F.col(at)).unionByName(
+        known.withColumn("__at", F.col(valid_from)), allowMissingColumns=True
+    )
+    # At equal times the version comes first: it is in force from that moment on.
+    order = Window.orderBy("__at", F.col(valid_from).isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("__version", F.last(valid_from, ignorenulls=True).over(order))
+    rows = found.where(F.col(valid_from).isNull()).select(*times.columns, F.col("__version").alias(valid_from))
+    return rows

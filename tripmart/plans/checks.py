@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -72,6 +72,23 @@ def trip_rules() -> dict[str, Column]:
     }
 
 
+def observed_write(
+    df: DataFrame, write: Callable[[DataFrame], None], subject: str, rules: Mapping[str, Column], minimum: int = 1
+) -> DataFrame:
+    """Write ``df`` and give :func:`row_counts` and :func:`null_profile` of exactly the rows that were written.
+
+    The figures are collected by the job that writes (``observe``), so the rows are not read again, and can't have
+    changed in between. A task that runs again after a lost executor counts once.
+    """
+    seen = Observation(subject)
+    counts = [F.count_if(rule).alias(name) for name, rule in rules.items()]
+    write(df.observe(seen, F.count(F.lit(1)).alias("count"), *counts))
+    got = seen.get
+    rows = [("rows", subject, "count", got["count"], got["count"] >= minimum)]
+    rows += [("invalid values", subject, name, got[name], got[name] == 0) for name in rules]
+    return df.sparkSession.createDataFrame(rows, "check string, subject string, metric string, value long, passed boolean")
+
+
 def union(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -8,8 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import new_rows
 from ..sources import decode_events, extract_range, read_raw_trips, write_daily
-from ..sources.files import ARRIVAL
-from ..sources.schemas import RAW_TRIP
+from ..sources.files import ARRIVAL, list_files, read_raw_files
+from ..sources.schemas import RAW_TRIP, columns
+from ..sources.versions import PART, VERSION, Commit, commit, last_commit, read_parts, write_parts
 from ..streaming import write_split_stream
 from . import checks
 
@@ -29,6 +30,68 @@ def load_raw(
     new_rows(spark.table(table), incoming, "ride_id", ARRIVAL).write.mode("append").saveAsTable(table)
 
 
+RIDES, LEDGER = "rides", "ledger"
+_LEDGER = columns(
+    "path string, length long, modified timestamp, rows long, first_ride string, last_ride string, load long"
+)
+
+
+def load_raw_ledger(spark: SparkSession, drop: str, path: str, pattern: str = "*.csv") -> list[str]:
+    """Append the rides of the files that no load has read yet to the raw table at ``path``; the files that were read.
+
+    The ledger holds path, length, time, number of rows and range of ids of each file that was loaded. A file that
+    is in it as it lies there is skipped unread: repeating a load lists the drop and reads nothing. A file that was
+    changed or replaced is read again, and rides that are stored already stay as they were first loaded. Stored ids are
+    compared only with loads whose range of ids meets that of the new files. Rides and ledger are one commit.
+    """
+    old = last_commit(spark, path)
+    number = old.number + 1
+    ledger = read_parts(spark, path, LEDGER, _LEDGER, old)
+    loaded = ledger.select("path", "length", "modified")
+    files = list_files(spark, drop, pattern).join(loaded, ["path", "length", "modified"], "left_anti").persist()
+    # The paths of new files: what the planner needs to read them in any case.
+    names = [r.path for r in files.orderBy("path").collect()]
+    if not names:
+        return []
+    incoming = read_raw_files(spark, names, with_arrival=True).persist()
+    name = F.col(ARRIVAL[0])
+    ranges = incoming.groupBy(name.alias("path")).agg(
+        F.count("*").alias("rows"), F.min("ride_id").alias("first_ride"), F.max("ride_id").alias("last_ride")
+    )
+    first, last = incoming.agg(F.min("ride_id"), F.max("ride_id")).first()
+    meets = ledger.where((F.col("first_ride") <= F.lit(last)) & (F.col("last_ride") >= F.lit(first)))
+    loads = [r[0] for r in meets.select("load").distinct().collect()]
+    stored = read_parts(spark, path, RIDES, RAW_TRIP, old, [_load_part(n) for n in loads]).drop(PART, VERSION)
+    new = new_rows(stored, incoming, "ride_id", ARRIVAL).withColumn(PART, F.lit(_load_part(number)))
+    parts = dict(old.parts)
+    for p in write_parts(new, path, RIDES, number, ["ride_id"]):
+        parts[RIDES, p] = (number,)
+    listed = files.join(ranges, "path", "left").select(
+        "path", "length", "modified", F.coalesce("rows", F.lit(0)).alias("rows"), "first_ride", "last_ride"
+    )
+    listed = listed.withColumns({"load": F.lit(number).cast("long"), PART: F.lit(_load_part(number))})
+    for p in write_parts(listed, path, LEDGER, number):
+        parts[LEDGER, p] = (number,)
+    commit(spark, path, Commit(number, parts))
+    incoming.unpersist()
+    files.unpersist()
+    return names
+
+
+def _load_part(number: int) -> str:
+    return f"load-{number:06d}"
+
+
+def read_raw_loads(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table of :func:`load_raw_ledger`."""
+    return read_parts(spark, path, RIDES, RAW_TRIP, last_commit(spark, path)).drop(PART, VERSION)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The files that were loaded."""
+    return read_parts(spark, path, LEDGER, _LEDGER, last_commit(spark, path)).drop(PART, VERSION)
+
+
 def land_trips(raw: DataFrame, path: str, start: str, end: str) -> None:
     """Write the rides that started in ``[start, end)`` to the landing zone, one folder per day.
 

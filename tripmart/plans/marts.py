@@ -76,22 +76,26 @@ def station_activity(trips: DataFrame) -> DataFrame:
     ).filter(F.col("station_id").isNotNull())
 
 
+def station_facets(activity: DataFrame, starts: Column, n: Column) -> DataFrame:
+    """Starts and activity per (station, hour) and per (station, day), in one aggregation with grouping sets."""
+    facets = ["activity_hour", "trip_date"]
+    return activity.groupingSets([["station_id", f] for f in facets], "station_id", *facets).agg(
+        starts.alias("starts"), n.alias("n"), *[(F.grouping(f) == 0).alias(f"by_{f}") for f in facets]
+    )
+
+
 def station_summary(trips: DataFrame, mapping: DataFrame) -> DataFrame:
     """Per station: starts, ends, activity per active day, busiest hour, and its mapped name.
 
     As in the daily mart, one aggregation with grouping sets feeds every figure. A station that the
     mapping lists twice appears twice.
     """
-    facets = ["activity_hour", "trip_date"]
-    counted = (
-        station_activity(trips)
-        .groupingSets([["station_id", f] for f in facets], "station_id", *facets)
-        .agg(
-            F.count_if(F.col("activity_type") == "START").alias("starts"),
-            F.count("*").alias("n"),
-            *[(F.grouping(f) == 0).alias(f"by_{f}") for f in facets],
-        )
-    )
+    starts = F.count_if(F.col("activity_type") == "START")
+    return station_figures(station_facets(station_activity(trips), starts, F.count("*")), mapping)
+
+
+def station_figures(counted: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The station mart from :func:`station_facets`."""
     by_hour = _facet("activity_hour")
     total = F.sum(F.when(by_hour, F.col("n")))
     starts = F.sum(F.when(by_hour, F.col("starts")))
@@ -131,6 +135,11 @@ def station_user_summary(trips: DataFrame) -> DataFrame:
             F.count("*").alias("total_trips"),
         )
     )
+    return rider_percentages(counted)
+
+
+def rider_percentages(counted: DataFrame) -> DataFrame:
+    """Adds the share of each rider type in ``total_trips``."""
     return counted.withColumns(
         {
             f"{kind}_percentage": ratio_2dp(F.col(f"{kind}_trips"), F.col("total_trips"), scale=100)
@@ -153,6 +162,11 @@ def user_type_summary(trips: DataFrame) -> DataFrame:
             F.count("ride_duration_minutes").alias("timed"),
         )
     )
+    return type_shares(counted)
+
+
+def type_shares(counted: DataFrame) -> DataFrame:
+    """The rider type mart from trips, hundredths of minutes and timed trips of each type."""
     return share_of_total(counted, "total_trips", "trip_percentage", few_groups=True).select(
         "member_casual",
         "total_trips",

@@ -541,6 +541,20 @@ FROM (SELECT *, event_id % 500 + 1 AS position FROM feed) AS p""",
         f"""SELECT ride_id, CASE WHEN rideable_type <> '' THEN rideable_type END AS rideable_type, started_at, ended_at,
   start_station_name, nullif(start_station_id, '') AS start_station_id, end_station_name, end_station_id,
   start_lat, start_lng, end_lat, end_lng, member_casual
+FROM (SELECT * EXCLUDE (trip_date) REPLACE (trim(ride_id) AS ride_id, {_timestamp('started_at')} AS started_at,
+        {_timestamp('ended_at')} AS ended_at, try_cast(start_lat AS DOUBLE) AS start_lat,
+        try_cast(start_lng AS DOUBLE) AS start_lng, try_cast(end_lat AS DOUBLE) AS end_lat,
+        try_cast(end_lng AS DOUBLE) AS end_lng, trim(end_station_id) AS end_station_id,
+        trim(member_casual) AS member_casual) FROM stg WHERE trim(ride_id) <> ''
+  QUALIFY row_number() OVER (PARTITION BY stg.ride_id ORDER BY stg.rideable_type, stg.started_at, stg.ended_at,
+    stg.start_station_name, stg.start_station_id, stg.end_station_name, stg.end_station_id, stg.start_lat,
+    stg.start_lng, stg.end_lat, stg.end_lng, stg.member_casual) = 1) AS t""",
+    ),
+    "raw_drop_ledger": _sql(
+        ("stg",),
+        f"""SELECT ride_id, CASE WHEN rideable_type <> '' THEN rideable_type END AS rideable_type, started_at, ended_at,
+  start_station_name, nullif(start_station_id, '') AS start_station_id, end_station_name, end_station_id,
+  start_lat, start_lng, end_lat, end_lng, member_casual
 FROM (SELECT * EXCLUDE (trip_date) REPLACE (trim(ride_id) AS ride_id, {_timestamp('started_at')} AS started_at,
         {_timestamp('ended_at')} AS ended_at, try_cast(start_lat AS DOUBLE) AS start_lat,
         try_cast(start_lng AS DOUBLE) AS start_lng, try_cast(end_lat AS DOUBLE) AS end_lat,
@@ -612,5 +626,40 @@ WHERE error_reason <> ''""",
     "stream_latest": _LATEST,
     "stream_drops": _sql(("monitoring",), "SELECT * FROM monitoring"),
     "stream_drops_late": _sql(("monitoring",), "SELECT * FROM monitoring"),
+    "stream_split_compacted": _sql(("checked",), _VALID),
+    "stream_quarantine_compacted": _sql(("checked",), _INVALID),
+    "feed_stream_events": """WITH polled AS (
+  SELECT event_id % 6 AS poll, CAST(user_id AS VARCHAR) AS station_id, user_id, max(CAST(floor(value) AS INTEGER)) AS bikes,
+    count(*) AS n, sum(event_id) % 20 AS ebikes FROM events GROUP BY 1, 2, 3),
+placed AS (
+  SELECT *, TIMESTAMP '2024-03-01' + to_minutes(CAST(5 * poll AS INTEGER)) AS taken,
+    row_number() OVER (PARTITION BY poll ORDER BY station_id) AS position FROM polled)
+SELECT CASE WHEN position % 20 = 0 AND position // 20 % 3 = 0 THEN '' ELSE station_id END AS station_id,
+  s_name || CASE WHEN poll > 2 THEN ' B' ELSE '' END AS station_name, s_acctbal AS lat, -s_acctbal AS lon,
+  CAST(s_nationkey AS INTEGER) AS capacity,
+  CAST(CASE WHEN position % 20 = 0 AND position // 20 % 3 = 1 THEN -1
+       WHEN position % 20 <> 0 AND position % 15 = 0 THEN 0 ELSE bikes END AS INTEGER) AS num_bikes_available,
+  CAST(CASE WHEN position % 20 = 0 AND position // 20 % 3 = 2 THEN -1
+       WHEN n % 7 = 0 THEN 0 ELSE n END AS INTEGER) AS num_docks_available,
+  CAST(ebikes AS INTEGER) AS num_ebikes_available, n % 2 = 1 AS is_installed, user_id % 3 <> 0 AS is_renting,
+  true AS is_returning, taken AS event_timestamp
+FROM placed LEFT JOIN supplier ON user_id = s_suppkey AND (poll <= 2 OR s_suppkey % 7 <> 0)""",
+    "published_fact_trips": _sql(("trips",), "SELECT * FROM trips"),
+    "mart_daily_incremental": _sql(("daily",), "SELECT * FROM daily"),
+    "mart_station_incremental": _sql(("stations",), "SELECT * FROM stations"),
+    "mart_station_user_incremental": _sql(("station_users",), "SELECT * FROM station_users"),
+    "mart_user_type_incremental": _sql(("user_types",), "SELECT * FROM user_types"),
+    "dq_observed": _sql(
+        ("typed",), f"{_count_row('staging_trips', 'typed')}\nUNION ALL {_null_profile('staging_trips', 'typed')}"
+    ),
+    "distinct_stations_sketch": _sql(
+        ("trips",),
+        """SELECT CAST(date_trunc('month', trip_date) AS DATE) AS trip_month,
+  count(DISTINCT start_station_id) AS stations, count(DISTINCT ride_id) AS rides,
+  true AS stations_near, true AS rides_near
+FROM trips WHERE trip_date IS NOT NULL GROUP BY 1""",
+    ),
+    "mart_station_anomaly_bucketed": _sql(("monitoring",), "SELECT * FROM monitoring"),
+    "view_daily_trips": _sql(("daily",), "SELECT * FROM daily"),
     "stream_drops_repaired": _sql(("monitoring",), "SELECT * FROM monitoring"),
 }

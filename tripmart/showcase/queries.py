@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, elapsed_seconds, fold, safe_date, safe_double, safe_long, safe_timestamp
@@ -14,17 +15,20 @@ from ..operators import (
     count_distinct_multi,
     count_where,
     dedupe_first,
+    distinct_sketch,
     drop_anomaly,
     full_outer_on,
     latest_per_key,
+    merge_sketches,
     peak_bucket,
     share_of_total,
+    sketch_error,
     stack_sides,
     top_k,
     total_order,
     with_previous,
 )
-from ..plans import checks, ingest, marts, medallion, questions
+from ..plans import checks, ingest, marts, medallion, publish, questions, refresh
 from ..plans.events import clean_events, valid_events
 from ..plans.stations import batch_station_reference, station_mapping, stream_station_reference
 from ..plans.trips import clean_trips, enrich_trips, type_trips, valid_trips
@@ -34,18 +38,25 @@ from ..sources import (
     extract_range,
     read_staging_trips,
     read_station_feed,
+    read_station_feed_stream,
+    register_views,
     scratch_path,
+    time_in_path,
     trip_dates,
+    write_bucketed,
     write_daily,
     write_table,
 )
-from ..sources.schemas import RAW_TRIP, STATION_INFO
+from ..sources.schemas import RAW_TRIP, STATION_EVENT, STATION_INFO, STATION_STATUS
 from ..sources.tables import LAYERS
+from ..streaming.sinks import append_batch
 from ..streaming import (
+    append_information,
     build_events,
     dedupe_stream,
     dedupe_stream_indexed,
     detect_drops_stream,
+    feed_events_stream,
     inject_faults,
     latest_status_stream,
     read_deduped,
@@ -53,9 +64,11 @@ from ..streaming import (
     read_drops,
     read_latest,
     read_repaired,
+    read_split,
     repair_drops_stream,
     split_valid_invalid,
     validate_events,
+    write_split_log,
     write_split_stream,
 )
 from .inputs import event_stream, late_event_stream, staging_trips, station_event_stream, station_events, table
@@ -690,3 +703,187 @@ def stream_drops_repaired(spark, sf):
     )
     _finish(repair_drops_stream(events, out, f"{out}/checkpoint", _compare, marts.COMPARED))
     return marts.monitoring_columns(read_repaired(spark, out, events.schema, _compare))
+
+
+def _split_log(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Six micro-batches, merged into days after the fourth: four of them in days, two still as they came."""
+    out = scratch_path(spark, "splitlog")
+    _finish(write_split_log(station_event_stream(spark, sf), out, f"{out}/checkpoint", compact_every=4))
+    return read_split(spark, out, kind)
+
+
+@query
+def stream_split_compacted(spark, sf):
+    return _split_log(spark, sf, "valid")
+
+
+@query
+def stream_quarantine_compacted(spark, sf):
+    return _split_log(spark, sf, "invalid")
+
+
+#: Polls of the feed that the ``events`` table makes up, the time between them, and when the second version of the
+#: station information comes into force.
+POLLS, FIRST_POLL, POLL_GAP = 6, datetime(2024, 3, 1), timedelta(minutes=5)
+SECOND_VERSION = FIRST_POLL + timedelta(minutes=12)
+
+
+def _land_polls(spark: SparkSession, sf: str, path: str) -> None:
+    """Status polls, one file each: every station that has events in the poll, ordered by id."""
+    records = F.struct(
+        F.col("user_id").cast("string").alias("station_id"),
+        F.max(F.floor("value")).cast("string").alias("num_bikes_available"),
+        F.when(F.count("*") % 7 != 0, F.count("*").cast("string")).alias("num_docks_available"),
+        (F.sum("event_id") % 20).cast("string").alias("num_ebikes_available"),
+        (F.count("*") % 2).cast("string").alias("is_installed"),
+        (F.col("user_id") % 3 != 0).cast("string").alias("is_renting"),
+        F.lit("true").alias("is_returning"),
+    )
+    events = table(spark, sf, "events").withColumn("poll", (F.col("event_id") % POLLS).cast("int"))
+    stations = events.groupBy("poll", "user_id").agg(records.alias("record"))
+    polls = stations.groupBy("poll").agg(F.sort_array(F.collect_list("record")).alias("stations")).persist()
+    for k in range(POLLS):
+        at = FIRST_POLL + k * POLL_GAP
+        one = polls.where(F.col("poll") == k).select(F.struct("stations").alias("data"))
+        one.coalesce(1).write.json(f"{path}/poll-{at:%Y%m%dT%H%M%S}")
+    polls.unpersist()
+
+
+@query
+def feed_stream_events(spark, sf):
+    """Six polls as micro-batches of one or two, each matched with the station information in force at its time."""
+    out = scratch_path(spark, "feed-stream")
+    _land_polls(spark, sf, f"{out}/status")
+    info = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("station_id"),
+        F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("lat"),
+        (-F.col("s_acctbal")).alias("lon"),
+        F.col("s_nationkey").alias("capacity"),
+    )
+    append_information(info, f"{out}/information", datetime(2024, 1, 1))
+    second = info.where("station_id % 7 <> 0").withColumn("name", F.concat("name", F.lit(" B")))
+    append_information(second, f"{out}/information", SECOND_VERSION)
+    taken = time_in_path("/poll-([0-9T]+)/", "yyyyMMdd'T'HHmmss")
+    polls = read_station_feed_stream(spark, f"{out}/status/*", STATION_STATUS, taken, polls_per_batch=1)
+    _finish(
+        feed_events_stream(
+            polls,
+            f"{out}/information",
+            f"{out}/checkpoint",
+            lambda events, batch: append_batch(events, f"{out}/events", batch),
+            last_by=[F.col("name").desc()],
+            invalid_every=20,
+            anomaly_every=15,
+            choice=(F.floor(F.col("position") / 20) % 3).cast("int"),
+        )
+    )
+    return spark.read.parquet(f"{out}/events").select(*[f.name for f in STATION_EVENT])
+
+
+# ---------------------------------------------------------------- publishing, refresh, layout
+
+
+@query
+def published_fact_trips(spark, sf):
+    """The trip fact as published, after a second run whose checks failed."""
+    path = scratch_path(spark, "published")
+    trips, events = staging_trips(spark, sf), station_events(spark, sf)
+    publish.publish_silver(spark, path, trips, events)
+    try:
+        publish.publish_silver(spark, path, trips.where("ride_id = ' '"), events)
+    except checks.CheckFailed:
+        return publish.published(spark, path, publish.TRIPS)
+    raise AssertionError("a layer without trips was published")
+
+
+def _refreshed(spark: SparkSession, sf: str) -> str:
+    """Sums of two loads: rides whose first copy is of before June 2000, and all later ones."""
+    path = scratch_path(spark, "refresh")
+    first = F.min("trip_date").over(Window.partitionBy("ride_id"))
+    staging = staging_trips(spark, sf).withColumn("__first", first)
+    for load, part in (("early", F.col("__first") < "2000-06-01"), ("late", F.col("__first") >= "2000-06-01")):
+        refresh.refresh(spark, path, clean_trips(staging.where(part).drop("__first")), load)
+    return path
+
+
+@query
+def mart_daily_incremental(spark, sf):
+    return refresh.daily_trip_summary(spark, _refreshed(spark, sf))
+
+
+@query
+def mart_station_incremental(spark, sf):
+    return refresh.station_summary(spark, _refreshed(spark, sf), _mapping(spark, sf))
+
+
+@query
+def mart_station_user_incremental(spark, sf):
+    return refresh.station_user_summary(spark, _refreshed(spark, sf))
+
+
+@query
+def mart_user_type_incremental(spark, sf):
+    return refresh.user_type_summary(spark, _refreshed(spark, sf))
+
+
+@query
+def dq_observed(spark, sf):
+    """Row count and null profile of staged trips, from the job that writes them."""
+    checked = ["ride_id", "started_at", "ended_at", "start_station_id", "end_station_id"]
+    typed = type_trips(staging_trips(spark, sf), checked)
+    path = scratch_path(spark, "observed")
+    return checks.observed_write(typed, lambda df: df.write.parquet(path), "staging_trips", checks.trip_rules())
+
+
+@query
+def distinct_stations_sketch(spark, sf):
+    """Distinct stations and rides per month: exact, and whether the estimate from sketches of days is near enough."""
+    trips = _trips(spark, sf).where(F.col("trip_date").isNotNull())
+    columns = {"stations": "start_station_id", "rides": "ride_id"}
+    path = scratch_path(spark, "sketches")
+    distinct_sketch(trips, ["trip_date"], columns).write.parquet(path)
+    month = F.trunc("trip_date", "month").alias("trip_month")
+    names = list(columns)
+    estimated = merge_sketches(spark.read.parquet(path).withColumn("trip_month", month), ["trip_month"], names)
+    exact = count_distinct_multi(trips.withColumn("trip_month", month), ["trip_month"], columns)
+    both = exact.join(estimated.withColumnsRenamed({n: f"{n}_estimate" for n in names}), "trip_month")
+    near = [(F.abs(F.col(f"{n}_estimate") - F.col(n)) <= sketch_error() * F.col(n)).alias(f"{n}_near") for n in names]
+    return both.select("trip_month", *names, *near)
+
+
+@query
+def mart_station_anomaly_bucketed(spark, sf):
+    """The anomaly mart over an event fact that lies in buckets by station and hour."""
+    fact = _events(spark, sf).withColumn("event_hour", F.date_trunc("hour", "event_timestamp"))
+    name = f"default.events_{uuid.uuid4().hex[:12]}"
+    location = scratch_path(spark, "bucketed")
+    stored = write_bucketed(fact, name, ["station_id", "event_hour"], ["event_timestamp"], path=location)
+    return marts.station_anomaly(stored, laid_out="event_hour")
+
+
+@query
+def raw_drop_ledger(spark, sf):
+    """A drop that grows and is loaded after each change, with a file that is loaded and then changed."""
+    raw = staging_trips(spark, sf).select(*[f.name for f in RAW_TRIP]).filter(blank_to_null(F.col("ride_id")).isNotNull())
+    raw = dedupe_first(raw, ["ride_id"], total_order(raw, [], skip=["ride_id"]))
+    drop, path = scratch_path(spark, "drop"), scratch_path(spark, "ledger")
+    third = F.pmod(F.xxhash64("ride_id"), F.lit(3))
+    raw.filter(third == 0).write.option("header", True).csv(f"{drop}/a")
+    raw.filter(third == 1).limit(100).write.option("header", True).csv(f"{drop}/b")
+    ingest.load_raw_ledger(spark, f"{drop}/*", path)
+    raw.filter(third == 1).write.mode("overwrite").option("header", True).csv(f"{drop}/b")
+    swapped = raw.filter(third == 2).select(F.lit("x").alias("extra"), *reversed(raw.columns))
+    swapped.write.option("header", True).csv(f"{drop}/c")
+    ingest.load_raw_ledger(spark, f"{drop}/*", path)
+    if ingest.load_raw_ledger(spark, f"{drop}/*", path):
+        raise AssertionError("a drop without changes was read again")
+    return ingest.read_raw_loads(spark, path)
+
+
+@query
+def view_daily_trips(spark, sf):
+    """The daily mart by the name of its view."""
+    name = f"mart_daily_{uuid.uuid4().hex[:12]}"
+    register_views({name: marts.daily_trip_summary(_trips(spark, sf))})
+    return spark.sql(f"SELECT * FROM {name}")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import csv
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,8 @@ MISSING = (
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 _TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _DAY_COLUMNS = ("year", "month", "day")
+#: Files whose first line is read at a time.
+_READERS = 16
 
 
 def _cell(field: T.StructField) -> Column:
@@ -60,6 +63,20 @@ def read_raw_trips(
     ones; a file without one of the columns is an error that names it. Files of equal header are read together.
     ``with_arrival`` adds the columns of :data:`ARRIVAL` for a first-come order over files and rows.
     """
+    files = [r.path for r in list_files(spark, path, pattern).orderBy("path").collect()]
+    if not files:
+        raise ValueError(f"no file {pattern} in {path}")
+    return read_raw_files(spark, files, with_arrival)
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+    """``path``, ``length`` and ``modified`` of the files of a folder; their content is not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def read_raw_files(spark: SparkSession, files: Sequence[str], with_arrival: bool = False) -> DataFrame:
+    """The same for the files that are named, each of which has a header."""
     cells = [_cell(f) for f in RAW_TRIP]
     arrival = [
         F.col("_metadata.file_path").alias(ARRIVAL[0]),
@@ -67,30 +84,32 @@ def read_raw_trips(
         F.monotonically_increasing_id().alias(ARRIVAL[2]),
     ]
     parts = []
-    for header, files in _headers(spark, path, pattern).items():
-        names = next(csv.reader([header]))
+    for names, own in _headers(spark, files).items():
         if missing := [f.name for f in RAW_TRIP if f.name not in names]:
-            raise ValueError(f"no column {', '.join(missing)} in {files[0]}")
+            raise ValueError(f"no column {', '.join(missing)} in {own[0]}")
         layout = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = spark.read.options(**_CSV).schema(layout).option("enforceSchema", False).csv(files)
+        df = spark.read.options(**_CSV).schema(layout).option("enforceSchema", False).csv(own)
         parts.append(df.select(*cells, *(arrival if with_arrival else [])))
     if not parts:
-        raise ValueError(f"no file {pattern} with a header in {path}")
+        raise ValueError(f"no file with a header among {files}")
     return reduce(DataFrame.unionAll, parts)
 
 
-def _headers(spark: SparkSession, path: str, pattern: str) -> dict[str, list[str]]:
-    """First line of each file -> the files that have it. The lines are picked by a scan as plain text; what
-    comes to the driver is one line per layout and the paths, which it needs to plan the read in any case."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(path)
-    first = (
-        lines.filter(F.col("_metadata.file_block_start") == 0)
-        .select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"), "value")
-        .groupBy("file")
-        .agg(F.min_by("value", "row").alias("header"))
-    )
-    layouts = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
-    return {r.header.removeprefix("\ufeff"): list(r.files) for r in sorted(layouts, key=lambda r: r.files[0])}
+def _headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> the files that have them, in order. Spark reads the first line of each file for it, no more."""
+
+    def names(file: str) -> tuple[str, ...]:
+        # Without the header option, so that a name that occurs twice stays as it is.
+        first = spark.read.options(**{**_CSV, "header": False}).csv(file).limit(1).collect()
+        return tuple((c or "").removeprefix("\ufeff") for c in first[0]) if first else ()
+
+    with ThreadPoolExecutor(_READERS) as readers:
+        found = list(readers.map(names, files))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(found, files, strict=True):
+        if header:
+            layouts.setdefault(header, []).append(file)
+    return layouts
 
 
 def write_daily(trips: DataFrame, path: str) -> None:

@@ -19,6 +19,15 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+def columns(text: str) -> T.StructType:
+    """The schema of ``name type, name type, ...`` (integer, long, string, date, timestamp); needs no session."""
+    out = T.StructType()
+    for field in text.split(","):
+        name, kind = field.split()
+        out = out.add(name, kind)
+    return out
+
+
 # Column names and types of the trip and station records.
 RAW_TRIP = _struct(
     ("ride_id", _S),

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import left_lookup
+from ..operators import in_force, left_lookup
+from ..sources.schemas import STATION_INFO
+from .sinks import start_query
 
 _COUNTS = ("num_bikes_available", "num_docks_available", "num_ebikes_available")
 _FLAGS = ("is_installed", "is_renting", "is_returning")
@@ -33,11 +38,13 @@ def build_events(
     now: Column | None = None,
     last_by: Sequence[Column] | None = None,
     keep: Sequence[str] = (),
+    version: str | None = None,
 ) -> DataFrame:
     """Station events: status records with the attributes of their station, NULL if it is unknown.
 
     ``info`` is the static side, read once; ``last_by`` says which of several records of a station
-    counts. ``status`` may be a stream. ``now`` is the event time, by default the column ``polled_at`` that
+    counts. ``version`` names a column of both sides in which they must agree as well: the version of the
+    information that was in force. ``status`` may be a stream. ``now`` is the event time, by default the column ``polled_at`` that
     :func:`tripmart.sources.read_station_feed` adds. There is no clock to fall back on: polls that are read
     together would share its time, and cleaning would take all but one of them for copies.
     """
@@ -48,7 +55,8 @@ def build_events(
     known = info.withColumn("station_id", F.col("station_id").cast("string"))
     typed = status.withColumn("station_id", F.col("station_id").cast("string"))
     attributes = {"station_name": "name", "lat": "lat", "lon": "lon", "capacity": "capacity"}
-    joined = left_lookup(typed, known, "station_id", "station_id", attributes, last_by)
+    match = ["station_id", *([version] if version else [])]
+    joined = left_lookup(typed, known, match, match, attributes, last_by)
     return joined.select(
         *keep,
         "station_id",
@@ -59,6 +67,55 @@ def build_events(
     )
 
 
+#: Information records of all versions: each is in force from ``valid_from`` until the next one is.
+STATION_INFO_VERSION = T.StructType([*STATION_INFO.fields, T.StructField("valid_from", T.TimestampNTZType())])
+
+
+def append_information(info: DataFrame, path: str, valid_from: datetime) -> None:
+    """Add a version of the station information, which polls from ``valid_from`` on are matched with.
+
+    A version is whole: a station that it does not list is unknown while it is in force.
+    """
+    time = F.lit(valid_from.isoformat(" ")).cast("timestamp_ntz")
+    rows = info.select(*[F.col(f.name).cast(f.dataType) for f in STATION_INFO], time.alias("valid_from"))
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def feed_events_stream(
+    status: DataFrame,
+    information: str,
+    checkpoint: str,
+    sink: Callable[[DataFrame, int], None],
+    last_by: Sequence[Column] | None = None,
+    invalid_every: int | None = None,
+    anomaly_every: int | None = None,
+    seed: int = 0,
+    choice: Column | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Turn polls that keep arriving into station events, and give those of each micro-batch to ``sink``.
+
+    ``status`` is the stream of :func:`tripmart.sources.read_station_feed_stream`. ``information`` is the path of a
+    table of versions (:func:`append_information`). It is read anew by every micro-batch, so a version that is added
+    while the stream runs counts from the next one on, and each poll is matched with the version in force at its own
+    time, also when polls of several days are read together. Faults are injected by position within each poll.
+
+    A batch that runs again gives the same events: all it depends on is stored, but for versions added meanwhile.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        info = batch.sparkSession.read.schema(STATION_INFO_VERSION).parquet(information)
+        polls = batch.select("poll", "polled_at").distinct()
+        known = in_force(polls, info, "polled_at", "valid_from").select("poll", "valid_from")
+        events = build_events(
+            batch.join(known, "poll", "left"), info, last_by=last_by, keep=["poll", "position"], version="valid_from"
+        )
+        spoiled = inject_faults(events, F.col("position"), invalid_every, anomaly_every, seed, choice)
+        sink(spoiled.drop("poll", "position"), batch_id)
+
+    return start_query(status, checkpoint, process, trigger or {"availableNow": True}, "append")
+
+
 def inject_faults(
     events: DataFrame,
     position: Column,
