@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,14 +48,34 @@ def load_raw_ledger(spark: SparkSession, drop: str, path: str, pattern: str = "*
     number = old.number + 1
     ledger = read_parts(spark, path, LEDGER, _LEDGER, old)
     loaded = ledger.select("path", "length", "modified")
-    files = list_files(spark, drop, pattern).join(loaded, ["path", "length", "modified"], "left_anti").persist()
-    # The paths of new files: what the planner needs to read them in any case.
-    names = [r.path for r in files.orderBy("path").collect()]
+    # The new files: what the planner needs on the driver in any case to read them.
+    files = list_files(spark, drop, pattern).join(loaded, ["path", "length", "modified"], "left_anti").collect()
+    names = sorted(r.path for r in files)
     if not names:
         return []
     incoming = read_raw_files(spark, names, with_arrival=True).persist()
-    name = F.col(ARRIVAL[0])
-    ranges = incoming.groupBy(name.alias("path")).agg(
+    try:
+        parts = dict(old.parts)
+        _write_load(spark, path, number, old, incoming, files, ledger, parts)
+    finally:
+        # A file may be replaced under its name: what was read of it must not outlive the load.
+        incoming.unpersist(blocking=True)
+    commit(spark, path, Commit(number, parts))
+    return names
+
+
+def _write_load(
+    spark: SparkSession,
+    path: str,
+    number: int,
+    old: Commit,
+    incoming: DataFrame,
+    files: list[Row],
+    ledger: DataFrame,
+    parts: dict,
+) -> None:
+    """Write new rides and the ledger of a load, and enter them in ``parts``."""
+    ranges = incoming.groupBy(F.col(ARRIVAL[0]).alias("path")).agg(
         F.count("*").alias("rows"), F.min("ride_id").alias("first_ride"), F.max("ride_id").alias("last_ride")
     )
     first, last = incoming.agg(F.min("ride_id"), F.max("ride_id")).first()
@@ -63,19 +83,15 @@ def load_raw_ledger(spark: SparkSession, drop: str, path: str, pattern: str = "*
     loads = [r[0] for r in meets.select("load").distinct().collect()]
     stored = read_parts(spark, path, RIDES, RAW_TRIP, old, [_load_part(n) for n in loads]).drop(PART, VERSION)
     new = new_rows(stored, incoming, "ride_id", ARRIVAL).withColumn(PART, F.lit(_load_part(number)))
-    parts = dict(old.parts)
     for p in write_parts(new, path, RIDES, number, ["ride_id"]):
         parts[RIDES, p] = (number,)
-    listed = files.join(ranges, "path", "left").select(
+    listed = spark.createDataFrame(files, columns("path string, length long, modified timestamp"))
+    listed = listed.join(ranges, "path", "left").select(
         "path", "length", "modified", F.coalesce("rows", F.lit(0)).alias("rows"), "first_ride", "last_ride"
     )
     listed = listed.withColumns({"load": F.lit(number).cast("long"), PART: F.lit(_load_part(number))})
     for p in write_parts(listed, path, LEDGER, number):
         parts[LEDGER, p] = (number,)
-    commit(spark, path, Commit(number, parts))
-    incoming.unpersist()
-    files.unpersist()
-    return names
 
 
 def _load_part(number: int) -> str:

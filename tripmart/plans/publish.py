@@ -30,11 +30,15 @@ _WHOLE = "all"
 
 @dataclass(frozen=True)
 class Draft:
-    """A table to publish: rows, the time column by whose day it is laid out (if any), and the order within files."""
+    """A table to publish: rows, the time column by whose day it is laid out (if any), and the order within files.
+
+    ``unit`` is ``day``, or ``month`` where a day holds too little for a file of its own.
+    """
 
     rows: DataFrame
     by_day: str | None = None
     cluster: Sequence[str] = ()
+    unit: str = "day"
 
 
 def publish(
@@ -55,7 +59,7 @@ def publish(
     parts: dict[tuple[str, str], tuple[int, ...]] = {}
     schemas = {name: draft.rows.schema for name, draft in drafts.items()}
     for name, draft in drafts.items():
-        part = day_part(draft.by_day) if draft.by_day else F.lit(_WHOLE)
+        part = day_part(draft.by_day, draft.unit) if draft.by_day else F.lit(_WHOLE)
         for p in write_parts(draft.rows.withColumn(PART, part), path, name, number, draft.cluster):
             parts[name, p] = (number,)
     new = Commit(number, parts, json.dumps({name: json.loads(s.json()) for name, s in schemas.items()}))
@@ -93,17 +97,22 @@ TRIPS, EVENTS, MAPPING = "fact_trips_cleaned", "fact_valid_events_cleaned", "dim
 
 
 def publish_silver(
-    spark: SparkSession, path: str, staging_trips: DataFrame, staging_events: DataFrame, gate: bool = True
+    spark: SparkSession,
+    path: str,
+    staging_trips: DataFrame,
+    staging_events: DataFrame,
+    gate: bool = True,
+    unit: str = "day",
 ) -> Silver:
     """Both facts and the station mapping as one version of the silver layer, and the views of the marts over it.
 
-    If a check fails, :func:`published_silver` still gives the version before.
+    The facts are laid out by ``unit`` (``day`` or ``month``). If a check fails, :func:`published_silver` still gives the version before.
     """
     valid, _ = split_valid_invalid(staging_events)
     mapping = station_mapping(batch_station_reference(staging_trips), stream_station_reference(valid))
     drafts = {
-        TRIPS: Draft(clean_trips(staging_trips), "trip_date", ["member_casual", "start_station_id"]),
-        EVENTS: Draft(clean_events(staging_events), "event_timestamp", ["station_id"]),
+        TRIPS: Draft(clean_trips(staging_trips), "trip_date", ["member_casual", "start_station_id"], unit),
+        EVENTS: Draft(clean_events(staging_events), "event_timestamp", ["station_id"], unit),
         MAPPING: Draft(mapping),
     }
 

@@ -53,9 +53,11 @@ def rider_sums(trips: DataFrame) -> DataFrame:
     return _sums(RIDERS, rows)
 
 
-def refresh(spark: SparkSession, path: str, trips: DataFrame, load: str) -> list[str]:
+def refresh(spark: SparkSession, path: str, trips: DataFrame, load: str, unit: str = "day") -> list[str]:
     """Add the trips of a load, none of which another load holds, to the sums at ``path``; the days that it touched.
 
+    With ``unit`` ``month`` sums are stored by month, for sparse data; all loads of a path must name the same.
+
     ``load`` names the load. One that is in already is not added again, so a run that died after its commit can
     simply be repeated; one that died before it left nothing behind that counts.
     """
@@ -71,10 +73,10 @@ def refresh(spark: SparkSession, path: str, trips: DataFrame, load: str) -> list
     ).persist()
     touched: set[str] = set()
     for kind, sums in ((ACTIVITY, activity_sums(rows)), (RIDERS, rider_sums(rows))):
-        added = sums.withColumn(PART, day_part("trip_date")).persist()
+        added = sums.withColumn(PART, day_part("trip_date", unit)).persist()
         days = [r[0] for r in added.select(PART).distinct().collect()]
         before = read_parts(spark, path, kind, _SCHEMAS[kind], old, days).drop(VERSION)
-        whole = _sums(kind, added.unionByName(before)).withColumn(PART, day_part("trip_date"))
+        whole = _sums(kind, added.unionByName(before)).withColumn(PART, day_part("trip_date", unit))
         for p in write_parts(whole, path, kind, number):
             parts[kind, p] = (number,)
         touched.update(days)

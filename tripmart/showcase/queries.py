@@ -789,9 +789,9 @@ def published_fact_trips(spark, sf):
     """The trip fact as published, after a second run whose checks failed."""
     path = scratch_path(spark, "published")
     trips, events = staging_trips(spark, sf), station_events(spark, sf)
-    publish.publish_silver(spark, path, trips, events)
+    publish.publish_silver(spark, path, trips, events, unit="month")
     try:
-        publish.publish_silver(spark, path, trips.where("ride_id = ' '"), events)
+        publish.publish_silver(spark, path, trips.where("ride_id = ' '"), events, unit="month")
     except checks.CheckFailed:
         return publish.published(spark, path, publish.TRIPS)
     raise AssertionError("a layer without trips was published")
@@ -803,7 +803,7 @@ def _refreshed(spark: SparkSession, sf: str) -> str:
     first = F.min("trip_date").over(Window.partitionBy("ride_id"))
     staging = staging_trips(spark, sf).withColumn("__first", first)
     for load, part in (("early", F.col("__first") < "2000-06-01"), ("late", F.col("__first") >= "2000-06-01")):
-        refresh.refresh(spark, path, clean_trips(staging.where(part).drop("__first")), load)
+        refresh.refresh(spark, path, clean_trips(staging.where(part).drop("__first")), load, unit="month")
     return path
 
 

@@ -70,7 +70,7 @@ def read_raw_trips(
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """``path``, ``length`` and ``modified`` of the files of a folder; their content is not read."""
+    """``path``, ``length`` and ``modified`` of the files of a folder that hold something; no content is read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
