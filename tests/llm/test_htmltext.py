@@ -4,6 +4,7 @@ import html
 import itertools
 import math
 import re
+import time
 
 import pytest
 
@@ -129,3 +130,19 @@ def test_formulas_objects_and_preformatted_text_stay(model):
         "An icon parts no text.",
         LAST,
     ]
+
+
+def test_unclosed_elements_cost_no_walks():
+    """Twenty thousand open elements, and as many closing tags of others: no step looks through all that is open."""
+    n = 20_000
+    start = time.perf_counter()
+    for page in ("<div>" * n + "<b>x</b>" * n, "<table><tr><td><p>" + "<div>" * n + "<td>x" * n, "<li>" * n + "</ul>" * n):
+        parse(page)
+    assert time.perf_counter() - start < 20
+
+
+def test_extra_columns_of_clashing_names(spark):
+    rows = [(1, "u", "<p>Words of a paragraph.</p>", "a", "b"), (2, "v", None, "c", "d")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, __p0 string")
+    got = extract_text(df, train_pages(df)).collect()
+    assert {r.page_id: r.text for r in got} == {1: "Words of a paragraph.", 2: ""}

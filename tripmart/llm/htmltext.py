@@ -17,7 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -114,6 +114,8 @@ def parse(page: str) -> Node:
     """The tree of a page. Leaves have the tag ``#text``; elements without text below are left out."""
     root = Node("#root")
     stack: list[Node] = [root]
+    # Places of the open elements on the stack, by name: no tag makes a walk over the stack necessary.
+    places: dict[str, list[int]] = defaultdict(list)
     pieces: list[str] = []
     plain = linked = depth_a = 0
     at = 0
@@ -133,6 +135,7 @@ def parse(page: str) -> Node:
         flush()
         while len(stack) > k:
             node = stack.pop()
+            places[node.tag].pop()
             if len(node.children) == 1 and node.tag in _WRAPPERS and not (node.kinds or node.marked):
                 if node.children[0].tag != "#text":
                     stack[-1].children.append(node.children[0])
@@ -142,6 +145,14 @@ def parse(page: str) -> Node:
                 node.linked = sum(c.linked for c in node.children)
                 stack[-1].children.append(node)
 
+    def push(node: Node) -> None:
+        places[node.tag].append(len(stack))
+        stack.append(node)
+
+    def last(*tags: str) -> int:
+        """Place of the last open element of one of these, 0 if there is none."""
+        return max((places[x][-1] for x in tags if places[x]), default=0)
+
     def say(text: str) -> None:
         nonlocal plain, linked
         if text:
@@ -167,19 +178,17 @@ def parse(page: str) -> Node:
         if found[1]:
             if tag == "a":
                 depth_a = max(depth_a - 1, 0)
-            elif tag == "p" and not any(n.tag == "p" for n in stack):
+            elif tag == "p" and not last("p"):
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
+            if k := last(tag):
+                close(k)
             continue
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             if not found[3].rstrip().endswith("/"):
                 if tag == "xmp":
                     flush()
-                    stack.append(Node("pre", _kinds(found[3])))
+                    push(Node("pre", _kinds(found[3])))
                     say(html.escape(page[at : stop.start() if stop else end]))
                     close(len(stack) - 1)
                 at = stop.end() if stop else end
@@ -206,28 +215,21 @@ def parse(page: str) -> Node:
             # An inline element that is said to be no content is a node of its own.
             if tag != "img" and any(k in _AGAINST or k == "hidden" for k in kinds):
                 flush()
-                stack.append(Node(tag, kinds))
+                push(Node(tag, kinds))
             continue
         if tag in ENDS_PARAGRAPH:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    close(k)
-                    break
-                if stack[k].tag in ("td", "th", "button", "object"):
-                    break
+            if last("p") > last("td", "th", "button", "object"):
+                close(last("p"))
         elif tag in SIBLINGS:
             same, holders = SIBLINGS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in same:
-                    close(k)
-                    if stack[k - 1].tag not in same:
-                        break
-                elif stack[k].tag in holders:
+            while (k := last(*same)) > last(*holders):
+                close(k)
+                if stack[k - 1].tag not in same:
                     break
         flush()
         depth_a = 0
         if tag not in VOID:
-            stack.append(Node(tag, kinds, marked=" data-c" in found[3]))
+            push(Node(tag, kinds, marked=" data-c" in found[3]))
     close(1)
     root.chars = sum(c.chars for c in root.children)
     root.linked = sum(c.linked for c in root.children)
