@@ -197,3 +197,12 @@ def test_licenses_wrapped_over_lines_and_in_comments(spark):
         (9, "Proprietary"): (1.0, 1),
     }
     assert {k for k, v in got.items() if v[0] < 1.0} == {(2, "GPL-2.0")}
+
+
+def test_decontaminate_keeps_columns_of_any_name(spark):
+    item = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"lead {item} tail", "x", "y"), (2, "a clean text of some words", "x", "y"), (None, item, "x", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __held string, __held_ string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = decontaminate(df, items)
+    assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [rows[1]]

@@ -140,5 +140,9 @@ def decontaminate(
 ) -> DataFrame:
     """The rows of ``docs``, unchanged, whose document holds no item; see :func:`contained_items`."""
     found = contained_items(docs, items, threshold, id_col=id_col, text_col=text_col)
-    held = found.select(F.col(id_col).alias("__held")).distinct()
-    return docs.join(held, docs[id_col].eqNullSafe(F.col("__held")), "left_anti")
+    # A name that no column of the rows has, whatever they are called.
+    name = "__held"
+    while name in docs.columns:
+        name += "_"
+    held = found.select(F.col(id_col).alias(name)).distinct()
+    return docs.join(held, docs[id_col].eqNullSafe(held[name]), "left_anti")
