@@ -7,7 +7,7 @@ import pytest
 
 from tripmart.llm import chat
 from tripmart.llm.chat import collapse_snapshots, render_chats
-from tripmart.llm.decontaminate import contained_items, decontaminate
+from tripmart.llm.decontaminate import contained_items, decontaminate, size_class
 from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
 
 
@@ -206,3 +206,31 @@ def test_decontaminate_keeps_columns_of_any_name(spark):
     items = spark.createDataFrame([(7, item)], "item_id long, text string")
     got = decontaminate(df, items)
     assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [rows[1]]
+
+
+def test_items_of_all_sizes(spark):
+    """Items from one shingle to hundreds, whole and just above and below the threshold, against plain sets."""
+    words = [f"v{k}" for k in range(900)]
+    items = [(size, words[:300][-size:] if size < 300 else words[:size]) for size in (5, 6, 8, 9, 20, 70, 300, 500)]
+    docs = []
+    for k, (_, w) in enumerate(items):
+        for cut in (0, len(w) // 6, len(w) // 5, len(w) // 3):
+            docs.append((len(docs), f"start {k} {cut} " + " ".join(w[cut:]) + " end " + " ".join(f"z{k}{j}" for j in range(50))))
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    want = set()
+    for i, text in docs:
+        for j, w in items:
+            own = shingles(" ".join(w))
+            shared = len(own & shingles(text))
+            if shared >= 0.8 * len(own):
+                want.add((i, j, len(own), shared))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in items], "item_id long, text string")
+    got = contained_items(df, bench).collect()
+    assert {(r.doc_id, r.item_id, r.n_item_shingles, r.n_shared) for r in got} == want and len(got) == len(want)
+    sizes = [r[0] for r in spark.range(1, 70).select(size_class("id")).collect()]
+    assert sizes == [k.bit_length() - 1 for k in range(1, 70)]

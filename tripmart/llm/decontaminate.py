@@ -3,10 +3,12 @@
 An item of n distinct shingles is contained when at least ``need`` = ceil(threshold * n) of them occur in the
 document. Under one random order of all shingles (their hash), the item's signature is its n - need + 1 minwise
 shingles: a document that contains the item misses fewer than that many, so it has at least one of them.
-Signature lengths depend on the item's size; sizes are not partitioned, one ceiling holds for all signatures.
-A document is looked up with those of its shingles that lie below the ceiling, so its own size neither dilutes the
-search nor decides on a loss: every pair at the threshold becomes a candidate. Candidates are then verified by
-counting the item's shingles, as text, in the whole document.
+
+Items are partitioned by size, a class for each power of two, as the length of a signature and how far up the order
+it reaches depend on the size. Every class has its own ceiling, the largest hash of its signatures, and a document is
+looked up in a class with those of its shingles that lie below that ceiling. The document's own size neither dilutes
+the search nor decides on a loss: every pair at the threshold becomes a candidate. Candidates are few; they are
+written down, and verified by counting the item's shingles, as text, in the whole document.
 
 DataFrame functions only.
 """
@@ -16,7 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of 16 bytes that are broadcast at most; a larger table of signatures is joined by a shuffle.
+from tripmart.sources.scratch import scratch_path
+
+#: Rows of 32 bytes that are broadcast at most; larger tables of signatures or candidates are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 _NULL_ID = (1 << 63) - 1
 _BETWEEN_WORDS = r"[^\p{L}\p{M}\p{N}]+"
@@ -55,6 +59,16 @@ def _shingle_hashes(words: str, n: int) -> Column:
     return F.when(F.size(words) >= n, _runs(words, n, "xxhash64(")).otherwise(none)
 
 
+def size_class(size: Column | str) -> Column:
+    """Number of the class of items of so many shingles: the exponent of the power of two below."""
+    return F.floor(F.log2(F.col(size) + 0.5)).cast("int")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """With the hint to broadcast it, if it is counted to be small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -88,34 +102,40 @@ def contained_items(
     )
     keyed = prepared.select(
         "__item",
+        size_class("__size").alias("__class"),
         F.slice(
             F.array_sort(F.array_distinct(_shingle_hashes("__words", n))),
             F.lit(1),
             (F.col("__size") - F.col("__need") + 1).cast("int"),
         ).alias("__signature"),
     )
-    # How far up the order signatures reach; none without items.
-    top = keyed.agg(F.max(F.element_at("__signature", -1))).first()[0]
-    signatures = keyed.select("__item", F.explode("__signature").alias("__key"))
-    n_keys = signatures.count()
-    if n_keys <= BROADCAST_ROWS:
-        signatures = F.broadcast(signatures)
-    top = -(1 << 63) if top is None else top
+    # How far up the order the signatures of each class reach: a row per power of two.
+    tops = keyed.groupBy("__class").agg(F.max(F.element_at("__signature", -1)).alias("__top")).collect()
+    classes = F.array(
+        *[F.struct(F.lit(r["__class"]).alias("__class"), F.lit(r["__top"]).alias("__top")) for r in tops]
+    ).cast("array<struct<__class: int, __top: bigint>>")
+    signatures = _small(keyed.select("__class", "__item", F.explode("__signature").alias("__key")))
 
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("__id"),
         F.col(text_col).cast("string").alias("__text"),
     ).withColumn("__hash", F.xxhash64("__text"))
-    hashes = F.filter(_shingle_hashes("__words", n), lambda x: x <= F.lit(top))
+    # What lies above all ceilings is left out first, then what is above that of each class.
+    highest = max((r["__top"] for r in tops), default=-(1 << 63))
+    hashes = F.filter(_shingle_hashes("__words", n), lambda x: x <= F.lit(highest))
     keys = (
         computed(texts, "__words", folded_words("__text"), "__id", "__hash")
         .where(F.size("__words") >= n)
         .select("__id", "__hash", F.explode(F.array_distinct(hashes)).alias("__key"))
+        .select("*", F.explode(F.filter(classes, lambda c: F.col("__key") <= c["__top"])["__class"]).alias("__class"))
     )
-    candidates = keys.join(signatures, "__key").groupBy("__id", "__hash").agg(F.collect_set("__item").alias("__items"))
+    met = keys.join(signatures, ["__class", "__key"]).select("__id", "__hash", "__item").distinct()
+    path = scratch_path(docs.sparkSession, "candidates")
+    met.write.parquet(path)
+    candidates = _small(docs.sparkSession.read.parquet(path))
 
-    # The text travels, not its shingles: they are made once more where document and item have met.
-    whole = texts.join(candidates, ["__id", "__hash"]).select("__id", "__text", F.explode("__items").alias("__item"))
+    # The text travels, if at all, not its shingles: they are made once more where document and item have met.
+    whole = texts.join(candidates, ["__id", "__hash"]).select("__id", "__text", "__item")
     met = whole.join(prepared.select("__item", "__shingles", "__size", "__need"), "__item")
     passed = ["__id", "__item", "__size", "__need"]
     met = computed(met, "__words", folded_words("__text"), *passed, "__shingles")
