@@ -4,8 +4,10 @@ import itertools
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
+from tripmart.llm import interactions
 from tripmart.llm.interactions import audit_filters, repeated_rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,19 +92,22 @@ def test_a_removed_copy_still_counts(spark):
     assert got["en", "EDABC", 1][:2] == (1, 1) and got["en", "EDABC", 1][4] == 1
 
 
-def test_hot_texts_are_dealt(spark):
-    """A third of all rows share one text; the rest are pairs, some of which share a hash bucket with nobody."""
+@pytest.mark.parametrize("groups", [4, 1000])
+def test_hot_texts_are_dealt(spark, monkeypatch, groups):
+    """A third of all rows share one text, three hold a third of all bytes; the rest are pairs."""
+    monkeypatch.setattr(interactions, "GROUPS_A_PARTITION", groups)
+    text = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") < 9, F.lit("x" * 40_000))
     rows = spark.range(30_000).select(
         F.col("id").alias("__id"),
         F.lit("en").alias("__part"),
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.expr("id div 6"))).alias("__text"),
+        text.otherwise(F.concat(F.lit("t"), F.expr("id div 6"))).alias("__text"),
     )
     rows = rows.select("*", F.xxhash64("__text").alias("__hash"))
     got = {r[0] for r in repeated_rows(rows).select("__id").collect()}
     first = {}
     want = set()
     for i in range(30_000):
-        text = "hot" if i % 3 == 0 else f"t{i // 6}"
+        text = "hot" if i % 3 == 0 else "x" * 40_000 if i < 9 else f"t{i // 6}"
         if first.setdefault(text, i) != i:
             want.add(i)
     assert got == want

@@ -7,9 +7,10 @@ with the other failures, the bits of a document are combined, and documents are
 From then on everything is arithmetic on a few hundred rows: what a filter removes at a step depends only on the
 set of filters before it, so 80 pairs of set and filter (for five) serve all 120 orders.
 
-*Hot texts.* A hash that more than one in ``HOT_SHARE`` rows has is hot; there can be no more than ``HOT_SHARE`` of
-those, so their list is broadcast. Copies of hot texts are dealt by a hash of their id over all shuffle partitions,
-each of which gets the least ids; all other groups of copies are small against the table and share its partitions.
+*Hot texts.* A group of copies that by rows or bytes is more than a quarter of what a shuffle partition holds on
+average is hot. There can be no more than eight of those for each partition, so their list is broadcast. Copies of a
+hot text are dealt by a hash of their id in as many shares as it takes for each to be no hot group, but no more than
+there are copies, and each share gets the least id of the text. All other groups share the partitions as they are.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A hash is hot when more than one row in so many has it.
-HOT_SHARE = 200
+#: Groups of copies that would fill a partition on average; a larger group is dealt.
+GROUPS_A_PARTITION = 4
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -72,15 +73,20 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFra
 
 def repeated_rows(rows: DataFrame) -> DataFrame:
     """The rows (``__id``, ``__part``, ``__hash``, ``__text``) of which another row of smaller id has the text."""
-    spark = rows.sparkSession
-    counts = rows.groupBy("__hash").agg(F.count("*").alias("__n"))
-    hot = counts.where(F.col("__n") * HOT_SHARE > F.lit(rows.count())).select("__hash")
-    hot = F.broadcast(hot)
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = F.octet_length("__text").cast("long")
+    n_rows, n_bytes = rows.agg(F.count("*"), F.sum(size)).first()
+    counts = rows.groupBy("__hash").agg(F.count("*").alias("__n"), F.sum(size).alias("__bytes"))
 
-    def least(some: DataFrame) -> DataFrame:
-        firsts = some.where(F.col("__id").isNotNull()).groupBy("__hash", "__text").agg(F.min("__id").alias("__first"))
-        return firsts.withColumnsRenamed({"__hash": "__h", "__text": "__t"})
+    def shares(c: str, total: int | None) -> Column:
+        return F.ceil(F.col(c) * GROUPS_A_PARTITION * partitions / F.lit(float(total or 1)))
+
+    dealt_to = F.least("__n", F.greatest(shares("__n", n_rows), shares("__bytes", n_bytes)))
+    hot = F.broadcast(counts.select("__hash", dealt_to.cast("int").alias("__shares")).where("__shares > 1"))
+
+    def least(some: DataFrame, *more: str) -> DataFrame:
+        firsts = some.where(F.col("__id").isNotNull()).groupBy("__hash", *more, "__text")
+        return firsts.agg(F.min("__id").alias("__first")).withColumnsRenamed({"__hash": "__h", "__text": "__t"})
 
     def exists(left: DataFrame, right: DataFrame, *more: Column) -> DataFrame:
         same = (F.col("__hash") == F.col("__h")) & (F.col("__text") == F.col("__t"))
@@ -89,11 +95,12 @@ def repeated_rows(rows: DataFrame) -> DataFrame:
         return left.join(right, same & (F.col("__first") < F.col("__id")), "left_semi")
 
     plain = rows.join(hot, "__hash", "left_anti")
-    common = rows.join(hot, "__hash", "left_semi")
-    dealt = common.withColumn("__salt", F.pmod(F.xxhash64("__id"), F.lit(salts)).cast("int"))
-    everywhere = least(common).withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    common = rows.join(hot, "__hash")
+    share = F.pmod(F.xxhash64("__id"), F.col("__shares")).cast("int")
+    everywhere = least(common, "__shares").withColumn("__s", F.explode(F.expr("sequence(0, __shares - 1)")))
+    dealt = common.withColumn("__share", share).drop("__shares")
     return exists(plain, least(plain)).unionByName(
-        exists(dealt, everywhere, F.col("__salt") == F.col("__s")).drop("__salt")
+        exists(dealt, everywhere.drop("__shares"), F.col("__share") == F.col("__s")).drop("__share")
     )
 
 
