@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators import distinct_sketch, merge_sketches, sketch_error
 from tripmart.plans import checks, ingest, marts, publish, refresh
-from tripmart.sources import versions, write_bucketed
+from tripmart.sources import write_bucketed
 from tripmart.sources.files import list_files, read_raw_trips
 from tripmart.sources.schemas import RAW_TRIP, STATION_EVENT
 from tripmart.sources.versions import PART, Commit, commit, last_commit, read_parts, write_parts

@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import blank_to_null, elapsed_seconds, fold, safe_date, safe_double, safe_long, safe_timestamp
+from ..functions import blank_to_null, fold, safe_date, safe_double, safe_long, safe_timestamp
 from ..operators import (
     append_new,
     count_distinct_multi,
