@@ -102,3 +102,31 @@ def test_rows_of_null_and_repeated_ids_stand_for_themselves(spark, tmp_path):
     df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA).repartition(4)
     left = STAGES["benchmark_decontamination"](spark, df, str(tmp_path))
     assert {(r.doc_id, r.text) for r in left.collect()} == {(None, a), (3, c), (5, e)}
+
+
+def _write(spark, path, rows, schema=SCHEMA, items=()):
+    spark.createDataFrame(rows, schema).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def test_empty_tables(spark, tmp_path):
+    got = corpus_pipeline.run(spark, _write(spark, str(tmp_path), []))
+    assert got.count() == 0 and "sequence_id" in got.columns
+
+
+def test_long_texts_and_columns_of_clashing_names(spark, tmp_path):
+    """Texts of a hundred thousand words beside short ones; columns that stages use themselves; copies of a row."""
+    rng = random.Random(12)
+    tongues = ["the", "ing", "er", "th", "sh", "wh"]
+    texts = [" ".join(_word(rng, tongues) for _ in range(n)) for n in (100_000, 150, 150, 60, 150)]
+    rows = [(k, t, "en", "s", len(t), 7, "x") for k, t in enumerate(texts)]
+    rows += [rows[1], (9, texts[2], "en", "s", len(texts[2]), 8, "y")]
+    path = _write(spark, str(tmp_path), rows, f"{SCHEMA}, __row long, component_id string", [(1, texts[3])])
+    got = corpus_pipeline.run(spark, path).collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    for k, t in enumerate(texts):
+        pieces = [r for r in got if r.doc_id == k]
+        want = 0 if k == 3 else len(tokenizer.encode(t, add_special_tokens=False).ids) + 1
+        assert sum(r.length for r in pieces) == want, k
+    assert not [r for r in got if r.doc_id == 9]
