@@ -36,13 +36,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def row_key() -> Column:
-    """A stable key of a row, by its id and text: only rows that agree in both have the same."""
+    """A stable key of a row, by its id and text, of 64 bits: of ten billion rows a few pairs share one."""
     return F.xxhash64("doc_id", "text")
 
 
+def second_key() -> Column:
+    """Another 64 bits of the same: rows that agree in both keys are copies."""
+    return F.xxhash64(F.lit("second"), "text", "doc_id")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of equal id and text are copies; one of them stays. Rows of equal id and other texts are not linked."""
-    rows = docs.withColumn("__row", row_key())
+    rows = docs.select(*COLUMNS).withColumns({"__row": row_key(), "__second": second_key()})
     found = near_duplicates(rows, shingle_words=5, percent=80, id_col="__row").select("__row", "component_id")
     # The null id counts as larger than all others; of equal ids the least key stays.
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
@@ -54,7 +59,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .select(F.col("__first.__row").alias("__row"))
     )
     left = rows.join(kept.hint("shuffle_hash"), "__row", "left_semi")
-    return left.dropDuplicates(["__row"]).select(*COLUMNS)
+    return left.dropDuplicates(["__row", "__second"]).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +71,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.withColumn("__row", row_key())
+    rows = docs.select(*COLUMNS).withColumn("__row", row_key())
     return decontaminate(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="__row").select(*COLUMNS)
 
 
