@@ -245,3 +245,18 @@ def test_headers_take_one_line_of_each_file(spark, tmp_path):
     assert got.count() == 51 and got.where("start_station_name = 'A'").count() == 51
     with pytest.raises(ValueError):
         read_raw_trips(spark, str(tmp_path), "*.none")
+
+
+def test_a_silver_layer_is_audited_with_its_marts(spark, tmp_path):
+    """Without a valid event the marts over events would be empty: the layer is not published."""
+    path = str(tmp_path)
+    staging = spark.createDataFrame(
+        [("r1", "x", "2024-01-05 08:00:00", "2024-01-05 09:00:00", "A", "1", "B", "2", "40.7", "-74", "40.8", "-74", "member", "2024-01-05")],
+        [*RAW_HEADER.split(","), "trip_date"],
+    )
+    events = spark.createDataFrame([event("s", 0, 5)], STATION_EVENT)
+    silver = publish.publish_silver(spark, path, staging, events)
+    assert silver.trips.count() == silver.events.count() == 1 and spark.table("mart_daily_trip_summary").count() == 1
+    with pytest.raises(checks.CheckFailed, match="mart_latest_station_status"):
+        publish.publish_silver(spark, path, staging, events.where("false"))
+    assert publish.published_silver(spark, path).events.count() == 1

@@ -106,7 +106,8 @@ def publish_silver(
 ) -> Silver:
     """Both facts and the station mapping as one version of the silver layer, and the views of the marts over it.
 
-    The facts are laid out by ``unit`` (``day`` or ``month``). If a check fails, :func:`published_silver` still gives the version before.
+    The facts are laid out by ``unit`` (``day`` or ``month``). The audit is that of the silver layer and, as the marts are
+    views over it, the row counts of the marts that the new version would give. If a check fails, :func:`published_silver` still gives the version before.
     """
     valid, _ = split_valid_invalid(staging_events)
     mapping = station_mapping(batch_station_reference(staging_trips), stream_station_reference(valid))
@@ -117,7 +118,8 @@ def publish_silver(
     }
 
     def audit(tables: Mapping[str, DataFrame]) -> DataFrame:
-        return silver_checks(Silver(tables[TRIPS], tables[EVENTS], tables[MAPPING]))
+        silver = Silver(tables[TRIPS], tables[EVENTS], tables[MAPPING])
+        return checks.union(silver_checks(silver), checks.row_counts(gold(silver), minimum=1))
 
     publish(spark, path, drafts, audit, gate)
     silver = published_silver(spark, path)
