@@ -3,11 +3,12 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.llm.test_neardup import components
 from tripmart.llm import embeddings
-from tripmart.llm.embeddings import near_vectors, plan_tables
+from tripmart.llm.embeddings import most_differing, near_vectors, plan_tables
 
 
 def brute(rows, threshold=0.9):
@@ -47,9 +48,10 @@ def test_supplied_vectors(spark):
     assert ours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")) == expected
 
 
-@pytest.mark.parametrize("block", [1024, 32])
-def test_a_crowd_and_its_blocks(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "sketch_block"), [(1024, 8192), (32, 8192), (32, 16)])
+def test_a_crowd_and_its_blocks(spark, monkeypatch, block, sketch_block):
     monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "SKETCH_BLOCK", sketch_block)
     rng = np.random.default_rng(2)
     centre = rng.standard_normal(24)
     rows = [(k, (centre + 0.3 * rng.standard_normal(24)).tolist()) for k in range(150)]
@@ -83,8 +85,31 @@ def test_edges(spark):
     assert {tuple(r) for r in near_vectors(none).collect()} == {(None, 1, 3, False), (3, 1, 3, True)}
 
 
-def test_tables_reach_the_recall():
-    for n in (10, 10**4, 10**7):
-        bits, tables = plan_tables(n, 0.9, 0.999)
-        same = 1 - math.acos(0.9) / math.pi
-        assert 1 - (1 - same**bits) ** tables >= 0.999
+def test_tables_and_sketches_reach_the_recall():
+    apart = math.acos(0.9) / math.pi
+    signs = 64 * embeddings.SKETCH_WORDS
+    for recall in (0.9, 0.999, 0.999999):
+        most = most_differing(0.9, recall)
+        sifted = sum(math.comb(signs, k) * apart**k * (1 - apart) ** (signs - k) for k in range(most + 1, signs + 1))
+        for n in (10, 10**4, 10**7):
+            bits, tables = plan_tables(n, 0.9, recall)
+            assert (1 - (1 - apart) ** bits) ** tables + sifted <= 1 - recall + 1e-12
+
+
+@pytest.mark.parametrize("pairs", [500, 4000, 24_000])
+def test_planted_pairs_are_found(spark, pairs):
+    """Pairs of cosine 0.9 and a little more, among vectors that are unlike all others."""
+    rng = np.random.default_rng(pairs)
+    a = rng.standard_normal((pairs, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((pairs, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cosine = 0.9000001
+    b = cosine * a + math.sqrt(1 - cosine**2) * b
+    frame = pd.DataFrame({"vec_id": np.arange(2 * pairs), "embedding": [x.tolist() for x in np.concatenate([a, b])]})
+    found = near_vectors(spark.createDataFrame(frame), recall=0.99).where("n_links > 0").select("vec_id", "component_id")
+    found = found.toPandas()
+    second = found[found.vec_id >= pairs]
+    assert (second.vec_id - pairs == second.component_id).mean() > 0.999
+    assert len(second) >= 0.99 * pairs - 3 * math.sqrt(0.01 * pairs)
