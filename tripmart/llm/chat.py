@@ -7,7 +7,7 @@ lanes of 40 bits. A conversation is redundant when its whole hash is the hash of
 
 Turns are numbered in slices, so a conversation that holds a third of all rows is not put in one task, and
 prefix hashes are combined before they are shuffled, so an opening that a third of all conversations share isn't
-either.
+either. Prefix hashes are written to the scratch folder, once, before they are compared.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.sources.scratch import scratch_path
+
 #: Turn numbers of a slice, and turns that are rendered into one row.
 SLICE = 1024
 _NULL_ID = (1 << 63) - 1
@@ -42,31 +44,36 @@ def _named(conversations: DataFrame, conv: str, turn: str, role: str, text: str)
 
 
 def _before(rows: DataFrame, columns: dict) -> DataFrame:
-    """Aggregates of all earlier slices of each conversation; ``columns`` maps names to aggregates of a slice."""
+    """Aggregates of each slice summed over all earlier slices of its conversation, as ``<name>_before``, and over
+    all slices, as ``<name>_all``; ``columns`` maps names to aggregates of a slice."""
     slices = rows.groupBy("__conv", "__slice").agg(*[c.alias(x) for x, c in columns.items()])
-    earlier = Window.partitionBy("__conv").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    return slices.select("__conv", "__slice", *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(x) for x in columns])
+    whole = Window.partitionBy("__conv").orderBy("__slice")
+    earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
+    every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = [F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"{x}_before") for x in columns]
+    return slices.select("__conv", "__slice", *sums, *[F.sum(x).over(every).alias(f"{x}_all") for x in columns])
 
 
 def _prefixes(named: DataFrame) -> DataFrame:
-    """``__conv``, ``__place`` (from 1), the lanes of the hash of all distinct turns up to this one.
+    """``__conv``, ``__place`` (from 1), ``__size`` (turns of the conversation), the lanes of the hash of all distinct
+    turns up to this one.
 
     All steps on single turns use the one partitioning by conversation and slice; texts are left out.
     """
     turns = named.select(*_KEYS).repartition("__conv", "__slice").distinct()
     in_slice = Window.partitionBy("__conv", "__slice").orderBy("__turn", "__role", "__text_a", "__text_b")
-    offsets = _before(turns, {"__offset": F.count("*")})
-    placed = turns.join(offsets, ["__conv", "__slice"]).withColumn(
-        "__place", F.col("__offset") + F.row_number().over(in_slice)
+    placed = turns.join(_before(turns, {"__n": F.count("*")}), ["__conv", "__slice"]).withColumn(
+        "__place", F.col("__n_before") + F.row_number().over(in_slice)
     )
     parts = ["__place", F.col("__role").isNull(), "__role", "__text_a", "__text_b"]
     lanes = {x: F.xxhash64(F.lit(k), *parts).bitwiseAND(F.lit((1 << 40) - 1)) for k, x in enumerate(_LANES)}
-    hashed = placed.select("__conv", "__slice", "__place", *[c.alias(x) for x, c in lanes.items()])
+    hashed = placed.select(
+        "__conv", "__slice", "__place", F.col("__n_all").alias("__size"), *[c.alias(x) for x, c in lanes.items()]
+    )
     carried = _before(hashed, {x: F.sum(x) for x in _LANES})
-    carried = carried.withColumnsRenamed({x: f"{x}_before" for x in _LANES})
     running = Window.partitionBy("__conv", "__slice").orderBy("__place").rowsBetween(Window.unboundedPreceding, 0)
     return hashed.join(carried, ["__conv", "__slice"]).select(
-        "__conv", "__place", *[(F.sum(x).over(running) + F.col(f"{x}_before")).alias(x) for x in _LANES]
+        "__conv", "__place", "__size", *[(F.sum(x).over(running) + F.col(f"{x}_before")).alias(x) for x in _LANES]
     )
 
 
@@ -79,14 +86,15 @@ def collapse_snapshots(
     rows count once; a null role or text is a value of its own; of equal conversations the smallest id stays; a
     null id is one conversation, larger than all others; an empty table gives no rows.
     """
-    prefixes = _prefixes(_named(conversations, conv, turn, role, text))
-    sizes = prefixes.groupBy("__conv").agg(F.max("__place").alias("__size"))
+    spark = conversations.sparkSession
+    path = scratch_path(spark, "prefixes")
+    _prefixes(_named(conversations, conv, turn, role, text)).write.parquet(path)
+    prefixes = spark.read.parquet(path)
     key = ["__place", *_LANES]
-    marked = prefixes.join(sizes, "__conv")
-    whole = marked.where("__place = __size").groupBy(*key).agg(
+    whole = prefixes.where("__place = __size").groupBy(*key).agg(
         F.min("__conv").alias("__conv"), F.count("*").alias("n_copies")
     )
-    proper = marked.where("__place < __size").select(*key).distinct()
+    proper = prefixes.where("__place < __size").select(*key).distinct()
     return whole.join(proper, key, "left_anti").select(
         F.nullif("__conv", F.lit(_NULL_ID)).alias(conv), F.col("__place").cast("long").alias("n_turns"), "n_copies"
     )
@@ -107,7 +115,10 @@ def render_chats(
     See :func:`collapse_snapshots` for the order of turns and the other defined cases.
     """
     turns = _named(conversations, conv, turn, role, text)
-    kept = collapse_snapshots(conversations, conv, turn, role, text).select(
+    path = scratch_path(conversations.sparkSession, "maximal")
+    collapse_snapshots(conversations, conv, turn, role, text).write.parquet(path)
+    # Read from a table its size is known, so the texts of what was collapsed need no shuffle where it is small.
+    kept = conversations.sparkSession.read.parquet(path).select(
         F.coalesce(F.col(conv), F.lit(_NULL_ID)).alias("__conv"), "n_turns", "n_copies"
     )
     pieces: list = []
