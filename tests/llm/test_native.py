@@ -1,6 +1,8 @@
 """Chat formatting, decontamination and licence scans against plain versions, with edge cases."""
 
+import random
 import re
+import textwrap
 import unicodedata
 
 import pytest
@@ -8,7 +10,7 @@ import pytest
 from tripmart.llm import chat
 from tripmart.llm.chat import collapse_snapshots, render_chats
 from tripmart.llm.decontaminate import contained_items, decontaminate, size_class
-from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
+from tripmart.llm.licenses import TEMPLATES, TEXTS, scan_licenses, template_bigrams
 
 
 def words(text):
@@ -120,10 +122,10 @@ def brute_licenses(docs, threshold=0.8):
     for i, t in docs:
         t = t or ""
         units = set(t.split("\n")) | set(re.sub(r"([.!?;])\s+", r"\1\n", t).split("\n")) | set(re.split(r"\n\s*\n", t))
-        for unit in units:
+        for unit, templates in [*((unit, TEMPLATES) for unit in units), (t, TEXTS)]:
             w = words(unit)
             own = frozenset(zip(w, w[1:], strict=False))
-            for name, template in TEMPLATES:
+            for name, template in templates:
                 other = {tuple(x.split()) for x in template_bigrams(template)}
                 if own and 2 * len(own & other) / (len(own) + len(other)) >= threshold:
                     dice, found = out.get((i, name), (0, set()))
@@ -154,6 +156,60 @@ def test_licenses(spark):
     assert [(r.doc_id, r.license) for r in null] == [(None, "Proprietary")]
 
 
+def test_whole_licence_texts(spark):
+    whole = dict(TEXTS)
+    head = "The Licence\n\nCopyright (c) 2020 Some Holder\n\n"
+    docs = [(k, head + textwrap.fill(text, 70)) for k, (_, text) in enumerate(TEXTS)]
+    docs += [
+        (100, whole["ISC"].replace("SPECIAL, DIRECT,\n", "")[:-40]),
+        (101, whole["MIT"] + " word" * 3 + " " + " ".join(f"other{k}" for k in range(400))),
+        (102, whole["Zlib"][: len(whole["Zlib"]) // 2]),
+        (103, whole["Zlib"] * 40),
+        (104, "merchantability and fitness of this software"),
+        (105, " ".join(f"line{k}" for k in range(20_000)) + whole["Zlib"]),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.license): r.dice for r in scan_licenses(df).collect()}
+    expected = {(i, name): dice for i, name, dice, _ in brute_licenses(docs)}
+    # Runs of words find notices that no line, sentence or paragraph holds; passages are those of the plain version.
+    assert {k: v for k, v in got.items() if k in expected} == expected
+    for k, (name, _) in enumerate(TEXTS):
+        assert got[k, name] > 0.9
+        assert got[k, name] == max(v for (i, _), v in got.items() if i == k)
+    assert {name for i, name in got if i == 100} == {"ISC"} and {name for i, name in got if i == 101} == {"MIT"}
+    assert not {i for i, _ in got} & {102, 104, 105} and (103, "Zlib") in got
+
+
+def test_licenses_against_all_runs(spark):
+    """Notices with words changed, wrapped anywhere among others: found where any run of words reaches the threshold."""
+    rng = random.Random(7)
+    docs = []
+    for i in range(60):
+        said = words(rng.choice(TEMPLATES)[1])
+        for _ in range(rng.randrange(4)):
+            said[rng.randrange(len(said))] = rng.choice(["tool", "the", "license", "gnu", "file"])
+        said = [rng.choice("abcdefg") for _ in range(rng.randrange(9))] + said + [rng.choice("abc") for _ in range(5)]
+        docs.append((i, "".join(w + rng.choice([" ", " ", "\n", "\n# ", ", "]) for w in said)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.license): r.dice for r in scan_licenses(df).collect()}
+    passages = {(i, name) for i, name, _, _ in brute_licenses(docs)}
+    best: dict = {}
+    for i, text in docs:
+        w = words(text)
+        grams = list(zip(w, w[1:], strict=False))
+        for name, template in TEMPLATES:
+            other = {tuple(x.split()) for x in template_bigrams(template)}
+            most = int(1.5 * (len(words(template)) - 1) + 1e-9)
+            for a in range(len(grams)):
+                for b in range(a + 1, min(a + most, len(grams)) + 1):
+                    own = set(grams[a:b])
+                    dice = 2 * len(own & other) / (len(own) + len(other))
+                    if dice >= 0.8:
+                        best[i, name] = max(best.get((i, name), 0), dice)
+    assert set(got) == set(best) | passages and len(got) > 30
+    assert all(got[k] == v for k, v in best.items() if k not in passages)
+
+
 def test_licenses_wrapped_over_lines_and_in_comments(spark):
     header = """/*
  * A tool for things.

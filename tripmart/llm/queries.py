@@ -17,7 +17,7 @@ from tripmart.llm.embeddings import near_vectors
 from tripmart.llm.htmltext import extract_text, train_pages
 from tripmart.llm.interactions import audit_filters
 from tripmart.llm.langid import identify, train
-from tripmart.llm.licenses import TEMPLATES, scan_licenses, template_bigrams
+from tripmart.llm.licenses import TEMPLATES, TEXTS, scan_licenses, template_bigrams
 from tripmart.llm.neardup import near_duplicates
 from tripmart.llm.packing import pack
 from tripmart.llm.repair import damage, repair_conversations
@@ -152,30 +152,37 @@ FROM hits WHERE shared >= ceil(round(n * 0.8, 6))
 
 
 def _license_sql(threshold: float = 0.8) -> str:
-    """Every passage against every template of which it has a bigram."""
-    quoted = [(name, [x.replace("'", "''") for x in template_bigrams(text)]) for name, text in TEMPLATES]
-    values = ", ".join("({}, '{}', [{}])".format(k, n, ", ".join(f"'{x}'" for x in b)) for k, (n, b) in enumerate(quoted))
+    """Every passage against every notice, and every document against every licence text, of which it has a bigram."""
+    quoted = [(name, [x.replace("'", "''") for x in template_bigrams(text)]) for name, text in (*TEMPLATES, *TEXTS)]
+    values = ", ".join(
+        "({}, '{}', {}, [{}])".format(k, n, k >= len(TEMPLATES), ", ".join(f"'{x}'" for x in b))
+        for k, (n, b) in enumerate(quoted)
+    )
     return f"""
-WITH templates(k, license, bigrams) AS (VALUES {values}),
+WITH templates(k, license, whole, bigrams) AS (VALUES {values}),
 parts AS (
+    SELECT doc_id, text AS part, true AS whole FROM documents
+    UNION ALL
     SELECT doc_id, unnest(list_distinct(list_concat(list_concat(
         string_split(text, chr(10)),
         string_split(regexp_replace(text, '([.!?;])\\s+', '\\1' || chr(10), 'g'), chr(10))),
-        string_split_regex(text, '\\n\\s*\\n')))) AS part
+        string_split_regex(text, '\\n\\s*\\n')))) AS part, false
     FROM documents),
-folded AS (SELECT doc_id, {_WORDS.format(text="part")} AS w FROM parts),
+folded AS (SELECT doc_id, whole, {_WORDS.format(text="part")} AS w FROM parts),
 passages AS (
-    SELECT DISTINCT doc_id, list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS bigrams
+    SELECT DISTINCT doc_id, whole, list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS bigrams
     FROM folded WHERE len(w) > 1),
-named AS (SELECT row_number() OVER () AS id, doc_id, bigrams FROM passages),
+named AS (SELECT row_number() OVER () AS id, doc_id, whole, bigrams FROM passages),
 pairs AS (
-    SELECT id, doc_id, len(bigrams) AS a, unnest(bigrams) AS g FROM named),
-wanted AS (SELECT k, license, len(bigrams) AS b, unnest(bigrams) AS g FROM templates),
+    SELECT id, doc_id, whole, len(bigrams) AS a, unnest(bigrams) AS g FROM named),
+wanted AS (SELECT k, license, whole, len(bigrams) AS b, unnest(bigrams) AS g FROM templates),
 scored AS (
     SELECT id, doc_id, k, license, 2.0::DOUBLE * count(*) / (a + b) AS dice
-    FROM pairs JOIN wanted USING (g) GROUP BY id, doc_id, k, license, a, b)
-SELECT doc_id, license, max(dice) AS dice, count(DISTINCT id) AS n_matches
-FROM scored WHERE dice >= {threshold} GROUP BY doc_id, license
+    FROM pairs JOIN wanted USING (g, whole) GROUP BY id, doc_id, k, license, a, b),
+matched AS (
+    SELECT s.doc_id, license, dice, named.bigrams FROM scored s JOIN named ON s.id = named.id)
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT bigrams) AS n_matches
+FROM matched WHERE dice >= {threshold} GROUP BY doc_id, license
 """
 
 
