@@ -39,6 +39,8 @@ from tripmart.sources.versions import last_commit
 from tripmart.streaming.sinks import append_batch
 from tripmart.streaming.state import current_slot
 
+from tripmart.showcase import inputs
+
 from .oracle import spark_rows
 
 NAMES = [f.name for f in STATION_EVENT]
@@ -492,3 +494,26 @@ def test_versions_in_force(spark):
     known = spark.createDataFrame([(5, "x"), (10, "y"), (10, "z"), (50, "w")], "since int, name string")
     got = {r.poll: r.since for r in in_force(times, known, "at", "since").collect()}
     assert got == {"a": None, "b": 10, "c": 10, "d": 50}
+
+
+def test_spans_of_several_files_arrive_as_one_batch_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "FILE_ROWS", 100)
+    rows = spark.range(3000).selectExpr("id", "timestampadd(SECOND, int(id) * 60, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS ts")
+    batches = []
+    stream = inputs.arriving(rows.repartition(5), "ts", "id")
+    running = stream.writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True)
+    running.foreachBatch(lambda df, n: batches.append(sorted(r.id for r in df.collect()))).start().awaitTermination()
+    assert len(batches) == inputs.ARRIVALS
+    assert sorted(i for b in batches for i in b) == list(range(3000))
+    assert all(b[0] > a[0] and b[-1] > a[-1] for a, b in zip(batches, batches[1:], strict=False))
+
+
+def test_dedupe_stream_gathers_the_rows_of_a_day(spark, tmp_path):
+    rows = [event(f"s{i % 40}", 7 * i, 1) for i in range(400)]
+    land(spark, rows, f"{tmp_path}/in", 2)
+    events = read_event_stream(spark, f"{tmp_path}/in", options={"maxFilesPerTrigger": "1"})
+    finish(dedupe_stream(events, ["station_id", "event_timestamp"], f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    for batch in ("batch_id=0", "batch_id=1"):
+        files = list((tmp_path / "out" / batch).glob("event_day=2024-01-01/*.parquet"))
+        assert len(files) == 1
+    assert read_deduped(spark, f"{tmp_path}/out", events.schema).count() == 400

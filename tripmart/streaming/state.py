@@ -53,7 +53,8 @@ def dedupe_stream(
             new = rows.join(known, reduce(and_, same), "left_anti")
         else:
             new = rows
-        new.write.mode("overwrite").partitionBy(_DAY).parquet(f"{path}/{BATCH}={batch_id}")
+        # Gathered by day: else each task writes a file of its own for every day of the batch.
+        new.hint("rebalance", _DAY).write.mode("overwrite").partitionBy(_DAY).parquet(f"{path}/{BATCH}={batch_id}")
         rows.unpersist()
 
     return start_query(events, checkpoint, process, trigger or {"availableNow": True}, "append")
