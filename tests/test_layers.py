@@ -260,3 +260,32 @@ def test_a_silver_layer_is_audited_with_its_marts(spark, tmp_path):
     with pytest.raises(checks.CheckFailed, match="mart_latest_station_status"):
         publish.publish_silver(spark, path, staging, events.where("false"))
     assert publish.published_silver(spark, path).events.count() == 1
+
+
+def test_rides_of_a_load_are_not_gathered_again(spark, tmp_path, monkeypatch):
+    asked = {}
+
+    def write(df, path, kind, number, cluster=(), **options):
+        asked[kind] = options
+        return write_parts(df, path, kind, number, cluster, **options)
+
+    monkeypatch.setattr(ingest, "write_parts", write)
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    (drop / "a.csv").write_text("\n".join([RAW_HEADER, *[trip_line(f"r{i}") for i in range(50)]]) + "\n")
+    ingest.load_raw_ledger(spark, str(drop), str(tmp_path / "table"))
+    assert asked[ingest.RIDES] == {"gather": False}
+    assert ingest.read_raw_loads(spark, str(tmp_path / "table")).count() == 50
+
+
+def test_a_drop_that_is_stored_is_asked_for_its_ids_alone(spark, tmp_path, monkeypatch):
+    drop, table = tmp_path / "drop", "default.asked_by_ids"
+    drop.mkdir()
+    (drop / "a.csv").write_text("\n".join([RAW_HEADER, trip_line("r1"), trip_line("r2")]) + "\n")
+    ingest.load_raw(spark, str(drop), table, location=str(tmp_path / "table"))
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "new_rows", lambda *a: pytest.fail("whole rows were compared"))
+        ingest.load_raw(spark, str(drop), table)
+    (drop / "b.csv").write_text("\n".join([RAW_HEADER, trip_line("r2"), trip_line("r3")]) + "\n")
+    ingest.load_raw(spark, str(drop), table)
+    assert sorted(r.ride_id for r in spark.table(table).collect()) == ["r1", "r2", "r3"]

@@ -11,7 +11,7 @@ from .aggregates import (
     top_k,
 )
 from .history import drop_anomaly, with_previous
-from .joins import append_new, full_outer_on, in_force, left_lookup, new_rows
+from .joins import append_new, full_outer_on, in_force, left_lookup, new_keys, new_rows
 from .pick import dedupe_first, latest_per_key, total_order
 from .sides import stack_sides
 
@@ -27,6 +27,7 @@ __all__ = [
     "latest_per_key",
     "left_lookup",
     "merge_sketches",
+    "new_keys",
     "new_rows",
     "peak_bucket",
     "share_of_total",

@@ -22,9 +22,7 @@ def new_rows(
     the result. Any remaining tie is settled by content. A NULL key is an error, as for a primary key.
     Only the key column of ``existing`` is read.
     """
-    keyed = incoming.withColumn(
-        key, F.coalesce(F.col(key), F.raise_error(F.lit(f"NULL in key column {key}")))
-    )
+    keyed = incoming.withColumn(key, _required(key))
     order = total_order(
         keyed, [F.col(c).asc_nulls_first() for c in arrival], skip=[key, *arrival]
     )
@@ -33,6 +31,15 @@ def new_rows(
     return first.join(existing.select(key), key, "left_anti").select(*existing.columns)
 
 
+def _required(key: str) -> Column:
+    return F.coalesce(F.col(key), F.raise_error(F.lit(f"NULL in key column {key}")))
+
+
+def new_keys(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """The keys of :func:`new_rows`, with copies: only the key column of either side is read and shuffled."""
+    return incoming.select(_required(key).alias(key)).join(existing.select(key), key, "left_anti")
+
+
 def append_new(
     existing: DataFrame, incoming: DataFrame, key: str, arrival: Sequence[str] = ()
 ) -> DataFrame:

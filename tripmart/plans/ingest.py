@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import new_rows
+from ..operators import new_keys, new_rows
 from ..sources import decode_events, extract_range, read_raw_trips, write_daily
 from ..sources.files import ARRIVAL, list_files, read_raw_files
 from ..sources.schemas import RAW_TRIP, columns
@@ -21,12 +21,16 @@ def load_raw(
     """Append the rides of a CSV drop that the raw table does not hold yet.
 
     Only new rows are written; loading the same drop again adds nothing. A table that is not there yet is made,
-    at ``location`` if it is given.
+    at ``location`` if it is given. A table that is there is first asked by ids alone: where it holds all of them, no
+    other column of the drop is read or shuffled.
     """
-    if not spark.catalog.tableExists(table):
+    is_new = not spark.catalog.tableExists(table)
+    if is_new:
         empty = spark.createDataFrame([], RAW_TRIP).write.format("parquet")
         (empty.option("path", location) if location else empty).saveAsTable(table)
     incoming = read_raw_trips(spark, path, pattern, with_arrival=True)
+    if not is_new and new_keys(spark.table(table), incoming, "ride_id").isEmpty():
+        return
     new_rows(spark.table(table), incoming, "ride_id", ARRIVAL).write.mode("append").saveAsTable(table)
 
 
@@ -83,7 +87,7 @@ def _write_load(
     loads = [r[0] for r in meets.select("load").distinct().collect()]
     stored = read_parts(spark, path, RIDES, RAW_TRIP, old, [_load_part(n) for n in loads]).drop(PART, VERSION)
     new = new_rows(stored, incoming, "ride_id", ARRIVAL).withColumn(PART, F.lit(_load_part(number)))
-    for p in write_parts(new, path, RIDES, number, ["ride_id"]):
+    for p in write_parts(new, path, RIDES, number, ["ride_id"], gather=False):
         parts[RIDES, p] = (number,)
     listed = spark.createDataFrame(files, columns("path string, length long, modified timestamp"))
     listed = listed.join(ranges, "path", "left").select(
