@@ -26,3 +26,8 @@ def test_history_is_evaluated_once(spark, name):
     plan = final_plan(QUERIES[name](spark, SF_DIR))
     assert "isFinalPlan=true" in plan
     assert scans(plan) == 1 or "ReusedExchange" in plan, plan
+
+
+def test_sketches_and_exact_counts_read_the_fact_as_written(spark):
+    result = QUERIES["distinct_stations_sketch"](spark, SF_DIR)
+    assert not [f for f in result.inputFiles() if "lineitem" in f]
