@@ -112,23 +112,33 @@ def _headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...],
     return layouts
 
 
-def write_daily(trips: DataFrame, path: str) -> None:
-    """Stamp ``trip_date`` and write CSV under ``year=Y/month=MM/day=DD``; a rerun replaces its days.
+def stamp_daily(trips: DataFrame) -> DataFrame:
+    """Raw trips that have a start, with ``trip_date`` and the columns of the day folders.
 
-    One job writes all days. The rebalance gathers a day's rows into few files and, through AQE, splits
-    a day that is much larger than the others over several tasks.
+    The rows go through a generator, behind which a column is computed once: otherwise whatever makes ``started_at``
+    is repeated in the filter and in every column derived from it, and the generated method may grow past the 8000
+    bytes up to which the JVM compiles one.
     """
     day = F.to_date("started_at")
-    stamped = trips.select(*[f.name for f in RAW_TRIP]).withColumns(
+    rows = trips.select(F.inline(F.array(F.struct(*[f.name for f in RAW_TRIP]))))
+    return rows.withColumns(
         {
             "trip_date": day,
             "year": F.year(day).cast("string"),
             "month": F.lpad(F.month(day).cast("string"), 2, "0"),
             "day": F.lpad(F.dayofmonth(day).cast("string"), 2, "0"),
         }
-    )
+    ).filter(F.col("started_at").isNotNull())
+
+
+def write_daily(trips: DataFrame, path: str) -> None:
+    """Stamp ``trip_date`` and write CSV under ``year=Y/month=MM/day=DD``; a rerun replaces its days.
+
+    One job writes all days. The rebalance gathers a day's rows into few files and, through AQE, splits
+    a day that is much larger than the others over several tasks.
+    """
     (
-        stamped.filter(F.col("started_at").isNotNull())
+        stamp_daily(trips)
         .hint("rebalance", *_DAY_COLUMNS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
