@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,14 +79,17 @@ def valid_trips(typed: DataFrame) -> DataFrame:
     """Rides with an id, both stations, a known rider type and ``0 < minutes <= 1440``.
 
     The duration counts whole seconds, so those minutes (rounded to two decimals) are exactly 1 to 86400
-    seconds, a range that also implies that both times are present and in order.
+    seconds, a range that also implies that both times are present and in order. It is compared as an interval:
+    counts of seconds convert each time to the session time zone and back, once for either limit.
     """
+    ride = F.col("ended_at") - F.col("started_at")
     return typed.filter(
         F.col("ride_id").isNotNull()
         & F.col("start_station_id").isNotNull()
         & F.col("end_station_id").isNotNull()
         & F.col("member_casual").isin(*RIDER_TYPES)
-        & ride_seconds().between(1, MAX_RIDE_MINUTES * 60)
+        & (ride >= F.lit(timedelta(seconds=1)))
+        & (ride < F.lit(timedelta(seconds=MAX_RIDE_MINUTES * 60 + 1)))
     )
 
 
