@@ -36,10 +36,12 @@ from tripmart.streaming import (
     write_split_stream,
 )
 from tripmart.sources.versions import last_commit
+from tripmart.streaming import slices
 from tripmart.streaming.sinks import append_batch
 from tripmart.streaming.state import current_slot
 
 from tripmart.showcase import inputs
+from tripmart.showcase.queries import QUERIES
 
 from .oracle import spark_rows
 
@@ -517,3 +519,26 @@ def test_dedupe_stream_gathers_the_rows_of_a_day(spark, tmp_path):
         files = list((tmp_path / "out" / batch).glob("event_day=2024-01-01/*.parquet"))
         assert len(files) == 1
     assert read_deduped(spark, f"{tmp_path}/out", events.schema).count() == 400
+
+
+def test_a_share_of_the_repaired_stream_comes_late(spark, tmp_path, monkeypatch):
+    """Over a table of a day one row in twenty is late at least, not only those about the borders of batches."""
+    sf, batches, step = f"{tmp_path}/sf", [], slices._step
+    columns = ("id AS event_id", "id * 7 % 1500 AS user_id", "'click' AS event_type", "double(id * 37 % 101) AS value")
+    spark.range(21_600).selectExpr(*columns).write.parquet(f"{sf}/events.parquet")
+
+    def watched(batch, *rest):
+        batches.append([tuple(r) for r in batch.select("station_id", "event_timestamp").collect()])
+        step(batch, *rest)
+
+    monkeypatch.setattr(slices, "_step", watched)
+    got = QUERIES["stream_drops_repaired"](spark, sf)
+    want = marts.station_anomaly(clean_events(inputs.station_events(spark, sf)))
+    assert spark_rows(got) == spark_rows(want)
+    assert len(batches) == inputs.ARRIVALS
+    newest, late = {}, 0
+    for rows in batches:
+        late += sum(s in newest and t <= newest[s] for s, t in rows)
+        for s, t in rows:
+            newest[s] = max(t, newest.get(s, t))
+    assert late > sum(map(len, batches)) / 20
